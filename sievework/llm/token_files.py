@@ -118,7 +118,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | None = N
 
         def close() -> pa.RecordBatch:
             name = f"{top}/part-{part:06d}-{roll:05d}.dac"
-            with fs.open_output_stream(f"{name}.{attempt}") as f:
+            with fs.open_output_stream(f"{name}.{attempt}", compression=None) as f:
                 f.write(to_bytes(doc_ids, sizes, np.concatenate(held)))
             fs.move(f"{name}.{attempt}", name)
             return pa.RecordBatch.from_pydict({"file": [f"part-{part:06d}-{roll:05d}.dac"], "part": pa.array([part], pa.int32()), "roll": pa.array([roll], pa.int32()), "n_docs": [len(doc_ids)], "n_tokens": [tokens]})
