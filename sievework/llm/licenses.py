@@ -11,7 +11,6 @@ score 0. An empty table gives an empty result. Columns other than id and text ar
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +21,6 @@ from pyspark.sql import functions as F
 from sievework.llm._encoder import Numbered
 from sievework.llm._runtime import materialise
 
-#: Words: fixed value.
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Phrases that have to stand word for word, and their labels: fixed values.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 #: Well-known notices of public licenses, and labels of their own.
@@ -53,12 +50,14 @@ COVER, ROW = 0.8, 4
 BROADCAST_ROWS = 100_000
 
 
-def words(text: str | None) -> list[str]:
-    """Words of a text with A-Z in lower case."""
-    return WORD.findall((text or "").translate(_LOWER))
+def words(text: str | None) -> list[bytes]:
+    """Words of a text with A-Z in lower case, in UTF-8: a byte is part of a word if it is a digit, a letter or not ASCII."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_BYTES).split()
 
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
+#: Digits, lower-cased letters and bytes beyond ASCII as they are, blanks for the others: the bytes of the class
+#: [^\x00-\x2F\x3A-\x60\x7B-\x7F].
+_BYTES = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)).lower()
 
 
 class Hasher:
@@ -71,7 +70,7 @@ class Hasher:
     def _clear(self) -> None:
         self.at, self.hash = Numbered(), np.zeros(0, np.uint64)
 
-    def grams(self, found: list[str]) -> np.ndarray:
+    def grams(self, found: list[bytes]) -> np.ndarray:
         import xxhash
 
         if len(self.at) > self.most:
@@ -79,7 +78,7 @@ class Hasher:
         which = np.fromiter(map(self.at.__getitem__, found), np.int64, len(found))
         if new := self.at.new:
             self.at.new = []
-            self.hash = np.concatenate([self.hash, np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in new), np.uint64, len(new))])
+            self.hash = np.concatenate([self.hash, np.fromiter((xxhash.xxh64_intdigest(w) for w in new), np.uint64, len(new))])
         h, n = self.hash[which], len(found) - self.k + 1
         if n <= 0:
             return np.zeros(0, np.int64)
@@ -90,9 +89,9 @@ class Hasher:
         return out.view(np.int64)
 
 
-def templates(k: int, phrases: dict[str, str], notices: list[tuple[str, str]]) -> tuple[list[tuple[str, list[str], bool]], list[tuple[int, int, int]]]:
+def templates(k: int, phrases: dict[str, str], notices: list[tuple[str, str]]) -> tuple[list[tuple[str, list[bytes], bool]], list[tuple[int, int, int]]]:
     """(label, words, word for word) of each template, and (hash, template, position) of each k-gram."""
-    listed = [(label, p.split(), True) for p, label in phrases.items()] + [(label, t.split(), False) for label, t in notices]
+    listed = [(label, words(p), True) for p, label in phrases.items()] + [(label, words(t), False) for label, t in notices]
     hasher = Hasher(k)
     return listed, [(int(h), t, j) for t, (_, w, _) in enumerate(listed) for j, h in enumerate(hasher.grams(w).tolist())]
 
@@ -114,7 +113,7 @@ def gram_rows(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("doc_id", "th", "text").mapInArrow(run, "doc_id long, th long, grams array<long>")
 
 
-def candidates(grams: DataFrame, table: list[tuple[int, int, int]], listed: list[tuple[str, list[str], bool]], k: int) -> DataFrame:
+def candidates(grams: DataFrame, table: list[tuple[int, int, int]], listed: list[tuple[str, list[bytes], bool]], k: int) -> DataFrame:
     """``(doc_id, th, template, first, last)``: spans by votes. Phrases need all their votes on one diagonal; of a
     notice's diagonals, neighbours within a tenth of its words merge."""
     spark = grams.sparkSession
@@ -122,7 +121,8 @@ def candidates(grams: DataFrame, table: list[tuple[int, int, int]], listed: list
     hits = grams.select("doc_id", "th", F.posexplode("grams").alias("i", "gram")).join(index, "gram")
     size = F.broadcast(spark.createDataFrame([(t, len(w), exact) for t, (_, w, exact) in enumerate(listed)], "template int, m int, exact boolean"))
     # rows that are wholly alike have the same hits: each counts once
-    votes = hits.groupBy("doc_id", "th", "template", (F.col("i") - F.col("j")).alias("diagonal")).agg(F.countDistinct("j").alias("votes"), F.min("j").alias("low"), F.max("j").alias("high")).join(size, "template")
+    votes = hits.groupBy("doc_id", "th", "template", (F.col("i") - F.col("j")).alias("diagonal")).agg(F.countDistinct("j").alias("votes"), F.min("j").alias("low"), F.max("j").alias("high"))
+    votes = materialise(votes, "votes").join(size, "template")
     exact = votes.where(f"exact AND votes = m - {k} + 1").select("doc_id", "th", "template", F.col("diagonal").alias("first"), (F.col("diagonal") + F.col("m") - 1).alias("last"))
     slack = F.greatest(F.lit(1), (F.col("m") / 10).cast("int"))
     merged = votes.where("NOT exact").withColumn("lane", F.explode(F.array(F.floor(F.col("diagonal") / (2 * slack)), F.floor((F.col("diagonal") + slack) / (2 * slack)) + F.lit(1 << 40))))
@@ -132,7 +132,7 @@ def candidates(grams: DataFrame, table: list[tuple[int, int, int]], listed: list
     return exact.select("doc_id", "th", "template", F.col("first").cast("int"), F.col("last").cast("int")).unionByName(near)
 
 
-def matched(template: list[str], found: list[str]) -> int:
+def matched(template: list[bytes], found: list[bytes]) -> int:
     """Longest common subsequence of words: two texts of a template's size."""
     row = np.zeros(len(found) + 1, np.int64)
     for w in template:
@@ -142,7 +142,7 @@ def matched(template: list[str], found: list[str]) -> int:
     return int(row[-1])
 
 
-def verify(docs: DataFrame, spans: DataFrame, listed: list[tuple[str, list[str], bool]]) -> DataFrame:
+def verify(docs: DataFrame, spans: DataFrame, listed: list[tuple[str, list[bytes], bool]]) -> DataFrame:
     """Every row of ``docs(doc_id, th, text)`` with its words counted and its spans held against them."""
     names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     kinds = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.float64()]
