@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from sievework.plans import filter_queries, shape_queries
+
+_PARTS = (filter_queries, shape_queries)
+QUERIES = {k: v for part in _PARTS for k, v in part.QUERIES.items()}
+ORACLE_SQL = {k: v for part in _PARTS for k, v in part.ORACLE_SQL.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The filter chain."""
+    return filter_queries.chain(spark, sf_dir)
