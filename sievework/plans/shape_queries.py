@@ -37,7 +37,7 @@ MODIFIERS = {
         modifiers.remove_quotation,
         f"CASE WHEN length({strip('text')}) > 2 AND starts_with(text, '\"') AND ends_with(text, '\"') AND (NOT contains({strip('text')}, chr(10)) OR NOT ends_with(string_split(text, chr(10))[1], '\"')) THEN substring(text, 2, length(text) - 2) ELSE text END",
     ),
-    "slice": (modifiers.slice_text("the", "."), f"CASE WHEN position('the' IN text) = 0 OR position('.' IN text) = 0 THEN '' ELSE {strip(_BETWEEN))} END"),
+    "slice": (modifiers.slice_text("the", "."), f"CASE WHEN position('the' IN text) = 0 OR position('.' IN text) = 0 THEN '' ELSE {strip(_BETWEEN)} END"),
     "slice_positions": (modifiers.slice_text(3, -5, strip=False), "substring(text, 4, greatest(length(text) - 8, 0))"),
     "urls": (modifiers.remove_urls, f"regexp_replace(text, '(?i)https?://[^{WS[1:]}+|www\\.[^{WS[1:]}+', '', 'g')"),
     "label": (modifiers.label_line("__label__hq"), "'__label__hq ' || replace(replace(text, chr(10), ' '), '__label__', ' ')"),
