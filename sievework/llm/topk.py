@@ -9,7 +9,7 @@ is expanded from the query's own distance outward until the inequality stops it.
 
 Edge cases: vectors that are null or have a null or non-finite component take no part; vectors of other lengths than
 the query's aren't its candidates. A query's own row is each with its id. Rows with a null id are neither queries nor
-candidates. Repeated rows are candidates each. Fewer candidates than k give fewer rows.
+candidates. Scores beyond 64 bits are held to the largest or smallest there is. Repeated rows are candidates each. Fewer candidates than k give fewer rows.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from sievework.llm._runtime import materialise
 SCALE, K = 256, 5
 #: Points of a block, queries of a query block, pivots of a vector length, and the points pivots are chosen from.
 BLOCK, QUERIES, PIVOTS, SAMPLE = 4096, 512, 64, 5000
+#: Components beyond this make a point wild: it has no pivot and is compared with all, so that no distance overflows.
+WILD = float(1 << 40)
 #: Share by which distances are widened before they rule a point out: rounding never loses one.
 SLACK = 1e-9
 
@@ -73,6 +75,11 @@ def _keyed(rows: DataFrame, pivots: dict[int, tuple[np.ndarray, float]]) -> Data
                 at = np.flatnonzero(dims == d)
                 centre, m = sent.value[d]
                 x = matrix(batch.column(1).take(pa.array(at)), d)
+                wild = np.abs(x).max(1, initial=0) > WILD
+                pivot[at[wild]] = -1
+                at, x = at[~wild], x[~wild]
+                if not len(at):
+                    continue
                 lifted = np.append(x, np.sqrt(np.maximum(m - (x * x).sum(1), 0))[:, None], 1)
                 far = distances(lifted, centre)
                 pivot[at] = far.argmin(1)
@@ -100,15 +107,17 @@ def _search(k: int, pivots: dict, bounded: bool):
             return pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "score")})
         p = p[np.argsort(dist[p], kind="stable")]
         centre, m = pivots[dim]
-        own = np.append(x[q], np.zeros((len(q), 1)), 1)
-        away = distances(own, centre[pivot][None])[:, 0]
-        lengths = (x[q] * x[q]).sum(1)
+        wild = (np.abs(x[q]).max(1, initial=0) > WILD) | (pivot < 0)
+        tame = np.where(wild[:, None], 0.0, x[q])
+        away = distances(np.append(tame, np.zeros((len(q), 1)), 1), centre[max(pivot, 0)][None])[:, 0]
+        lengths, floor = (tame * tame).sum(1), bound[q].astype(float)
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         near = dist[p]
         for a in range(0, len(q), 64):
             rows = slice(a, a + 64)
             # annulus of each query: points whose distance from the pivot is within the radius of its own
-            radius = np.sqrt(np.maximum(lengths[rows] + m - 2 * bound[q[rows]], 0)) if bounded else np.full(len(q[rows]), np.inf)
+            radius = np.sqrt(np.maximum(lengths[rows] + m - 2 * floor[rows], 0)) if bounded else np.full(len(q[rows]), np.inf)
+            radius[wild[rows]] = np.inf
             wide = radius * (1 + SLACK) + SLACK * (away[rows] + np.sqrt(m) + 1) * 10
             lo, hi = np.searchsorted(near, away[rows] - wide), np.searchsorted(near, away[rows] + wide, "right")
             if not (hi > lo).any():
@@ -135,8 +144,9 @@ def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE, id_col:
     spark = vectors.sparkSession
     rows = materialise(quantised(vectors, scale, id_col, vector_col), "vectors")
     pivots = {}
-    for d, n, m in rows.groupBy("dim").agg(F.count("*"), F.max("norm")).collect():
-        part = rows.where(F.col("dim") == d)
+    tame = ~F.exists("x", lambda v: F.abs(v) > WILD)
+    for d, n, m in rows.groupBy("dim").agg(F.count_if(tame), F.coalesce(F.max(F.when(tame, F.col("norm"))), F.lit(0.0))).collect():
+        part = rows.where((F.col("dim") == d) & tame)
         part = part if n <= SAMPLE else part.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < int((1 << 20) * SAMPLE / n))
         x = matrix(part.orderBy(F.xxhash64("vec_id"), "vec_id", "x").select("x").toArrow().column(0).combine_chunks(), d)
         x = np.append(x, np.sqrt(np.maximum(m - (x * x).sum(1), 0))[:, None], 1) if len(x) else np.zeros((1, d + 1))
@@ -198,14 +208,18 @@ def _route(pivots: dict, blocks: list[tuple], k: int):
                     x, bound = matrix(part.column(1), d), part.column(3).to_numpy(zero_copy_only=False).astype(float)
                     centre, m = pivots[d]
                     mine = by_dim[d]
-                    away = distances(np.append(x, np.zeros((len(x), 1)), 1), centre)[:, [b[4] for b in mine]]
+                    wild = np.abs(x).max(1, initial=0) > WILD
+                    tame = np.where(wild[:, None], 0.0, x)
+                    away = distances(np.append(tame, np.zeros((len(x), 1)), 1), centre)[:, [max(b[4], 0) for b in mine]]
                     lo, hi, n = (np.array([b[i] for b in mine]) for i in (5, 6, 7))
                     least = np.maximum(np.maximum(lo[None] - away, away - hi[None]), 0)
+                    least[wild] = 0
+                    least[:, [b[4] < 0 for b in mine]] = 0
                     if nearest:
                         row = np.arange(len(x))
                         at = np.where((n > k)[None], least + 1e-6 * away, np.inf).argmin(1)
                     else:
-                        radius = np.sqrt(np.maximum((x * x).sum(1) + m - 2 * np.maximum(bound, -1e300), 0))
+                        radius = np.sqrt(np.maximum((tame * tame).sum(1) + m - 2 * np.maximum(bound, -1e300), 0))
                         row, at = np.nonzero(least <= (radius * (1 + SLACK))[:, None] + SLACK * (away + np.sqrt(m) + 1) * 10)
                     taken = part.take(pa.array(row))
                     place = [pa.array(np.array([mine[j][i] for j in at], np.int32)) for i in (4, 1, 2, 3)]
