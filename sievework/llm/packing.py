@@ -54,13 +54,15 @@ def _two(left: np.ndarray, gap: int) -> tuple[int, int] | None:
     return (int(a[k]), gap - int(a[k])) if len(a) and ok[k := int(ok.argmax())] else None
 
 
-def complement(left: np.ndarray, gap: int) -> tuple[int, ...] | None:
-    """One, two or three lengths of which ``left`` has enough and that sum to ``gap``."""
-    if left[gap] > 0:
+def complement(left: np.ndarray, gap: int, most: int = 3) -> tuple[int, ...] | None:
+    """One, two or three lengths, ``most`` at most, of which ``left`` has enough and that sum to ``gap``."""
+    if most and left[gap] > 0:
         return (gap,)
-    if two := _two(left, gap):
+    if most > 1 and (two := _two(left, gap)):
         return two
     for a in np.flatnonzero(left[1:gap])[::-1] + 1:
+    if most < 3:
+        return None
         if 3 * a < gap:
             break
         left[a] -= 1
@@ -72,7 +74,15 @@ def complement(left: np.ndarray, gap: int) -> tuple[int, ...] | None:
 
 
 def plan(counts: np.ndarray, size: int) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of a sequence, number of such sequences) for ``counts[length]`` pieces of each length up to ``size``."""
+    """(lengths of a sequence, number of such sequences) for ``counts[length]`` pieces of each length up to ``size``.
+
+    Filling gaps by three lengths can use up short pieces that long ones need: of the plans with complements of up to
+    three, two, one and no lengths, that with the fewest sequences is taken.
+    """
+    return min((_plan(counts, size, most) for most in (3, 2, 1, 0)), key=lambda p: sum(times for _, times in p))
+
+
+def _plan(counts: np.ndarray, size: int, most: int) -> list[tuple[tuple[int, ...], int]]:
     left, out = counts.astype(np.int64).copy(), []
     if left[size]:
         out.append(((size,), int(left[size])))
@@ -80,7 +90,7 @@ def plan(counts: np.ndarray, size: int) -> list[tuple[tuple[int, ...], int]]:
     for longest in range(size - 1, 0, -1):
         while left[longest] > 0:
             left[longest] -= 1
-            rest = complement(left, size - longest)
+            rest = complement(left, size - longest, most)
             left[longest] += 1
             if rest is None:
                 break
