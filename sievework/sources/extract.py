@@ -395,3 +395,23 @@ def notebook_text(raw: str) -> str | None:
         return None
     parts = ["".join(c["source"]) if isinstance(c.get("source"), list) else c.get("source", "") for c in cells]
     return "\n\n".join(p for p in parts if p.strip()) or None
+
+
+def wiki_dump_urls(language: str, dump_date: str, status: dict, prefix: str = "https://dumps.wikimedia.org") -> list[str]:
+    """Addresses of a dump's article files, from its status report, once they are done."""
+    job = status["jobs"]["articlesmultistreamdump"]
+    if job["status"] != "done":
+        raise ValueError(f"the dump of {dump_date} isn't done")
+    names = sorted(n for n in job["files"] if n.endswith(".bz2") and "-index" not in n)
+    return [f"{prefix}/{language}wiki/{dump_date}/{n}" for n in names]
+
+
+def tar_names(listing: str) -> list[str]:
+    """Names of the tars in a store's listing, whose lines end in a name."""
+    return sorted(line.split()[-1] for line in listing.splitlines() if line.strip().endswith(".tar"))
+
+
+def fresh_downloads(urls: list[str], there: list[str]) -> list[str]:
+    """Addresses whose file isn't there yet."""
+    names = set(there)
+    return [u for u in urls if u.rpartition("/")[2] not in names]
