@@ -22,13 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm._runtime import connected_components, local_roots, materialise
+from sievework.llm._runtime import connected_components, local_roots, materialise, small_batches
 
 SEED = 42
 #: Rows of a bucket that one task compares with others; fuller buckets are cut into a grid of blocks.
 BLOCK = 4096
+#: Ids up to which a list of them is broadcast (some 50 MB).
+BROADCAST_IDS = 2_000_000
 #: Relative costs of a shuffled probe row and of a compared pair, for the planner.
-ROW_COST, PAIR_COST = 400.0, 1.0
+ROW_COST, PAIR_COST = 1000.0, 2.0
 
 
 def shingle_hashes(text: str, size: int, wide: bool = False) -> np.ndarray:
@@ -70,6 +72,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, wide: bool = False, id_col:
             signed = out.view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed[:, 0]), pa.array(signed[:, 1])], names=["doc_id", "fp", "fp2"])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long, fp2 long")
 
 
@@ -131,14 +134,14 @@ def near_share(both: np.ndarray, n: int, part: list[int]) -> np.ndarray:
 def plan(n: int, both: np.ndarray, radius: int) -> list[tuple[list[int], int]]:
     """(bits, threshold) of each part with a threshold of 0 or more, at the least estimated cost over the numbers of parts."""
     best = (math.inf, [])
-    for parts in range(1, radius + 2):
+    for parts in range(1, min(radius + 1, 16) + 1):
         groups = group_bits(both, n, parts)
         cost = []
         for part in groups:
             share, probes, row = near_share(both, n, part), 0.0, [0.0]
             for t in range(min(radius, len(part)) + 1):
                 probes += math.comb(len(part), t)
-                row.append(n * probes * ROW_COST + n * n / 2 * float(share[t]) * PAIR_COST if probes <= 20_000 else math.inf)
+                row.append(n * (probes + 1) / 2 * ROW_COST + n * n / 2 * float(share[t]) * PAIR_COST if probes <= 20_000 else math.inf)
             cost.append(row)
         # table[s]: least cost of the parts so far whose thresholds, each counted from -1, sum to s
         table, need = {0: (0.0, ())}, radius + 1
@@ -161,113 +164,135 @@ def _codes(fp: np.ndarray, bits: list[int]) -> np.ndarray:
     return code
 
 
-def _mix(code: np.ndarray, part: int) -> np.ndarray:
-    """Bucket keys: 58 bits of code at most, then the part."""
-    return (code.astype(np.uint64) << np.uint64(6)) | np.uint64(part)
-
-
 def _rows(classes: DataFrame, parts: list[tuple[list[int], int]], probes: bool) -> DataFrame:
-    """``(key, node, fp, fp2)``: index rows, or the probe rows of all codes within the thresholds."""
-    masks = [np.array([sum(1 << b for b in c) for k in range(t + 1) for c in combinations(range(len(bits)), k)], np.uint64) for bits, t in parts]
+    """``(key, node, fp, fp2)``: index rows, or the probe rows of the other codes within the thresholds. A key is a code,
+    its part, and a last bit that is 1 in probe rows.
+
+    Of two codes that differ, only the smaller probes the larger: each pair of codes meets once.
+    """
+    masks = [np.array([sum(1 << b for b in c) for k in range(1, t + 1) for c in combinations(range(len(bits)), k)], np.uint64) for bits, t in parts]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, fp, fp2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             for k, (bits, _) in enumerate(parts):
                 code = _codes(fp.view(np.uint64), bits)
-                step = max(1, 200_000 // (len(masks[k]) if probes else 1))
-                for at in range(0, len(fp), step):
-                    s = slice(at, at + step)
-                    key = _mix((code[s, None] ^ masks[k][None, :]) if probes else code[s, None], k)
-                    cols = [np.repeat(x[s], key.shape[1]) for x in (node, fp, fp2)]
-                    yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), *map(pa.array, cols)], names=["key", "node", "fp", "fp2"])
+                step = max(1, 200_000 // max(1, len(masks[k]) if probes else 1))
+                for at in range(0, len(fp) if len(masks[k]) or not probes else 0, step):
+                    own = code[at : at + step]
+                    if probes:
+                        other = own[:, None] ^ masks[k][None, :]
+                        row, column = np.nonzero(other > own[:, None])
+                        key = other[row, column]
+                    else:
+                        row, key = np.arange(len(own)), own
+                    key = (key << np.uint64(5)) | np.uint64(2 * k + probes)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *(pa.array(x[at : at + step][row]) for x in (node, fp, fp2))], names=["key", "node", "fp", "fp2"])
 
     return classes.select("node", "fp", "fp2").mapInArrow(run, "key long, node long, fp long, fp2 long")
 
 
 def _compare(radius: int, wide_radius: int | None):
-    """Links of the probe rows with the index rows of their bucket, as a spanning forest; input sorted by (key, cell, side)."""
+    """Links of a bucket's index rows with one another and with its probe rows, as a spanning forest. Input sorted by
+    (cell, key), so that a bucket's index rows come first; rows (key, cell, node, fp, fp2)."""
 
-    def pairs(key: np.ndarray, side: np.ndarray, fp: np.ndarray, fp2: np.ndarray, node: np.ndarray):
-        new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)]))
+    def pairs(x: np.ndarray) -> np.ndarray:
+        key, node, fp, fp2 = x[:, 0], x[:, 2], x[:, 3].view(np.uint64), x[:, 4].view(np.uint64)
+        bucket = np.stack([key >> 1, x[:, 1] >> 1], 1)
+        new = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]).any(1)]))
         run = np.zeros(len(key), np.int64)
         run[new] = 1
         run = np.cumsum(run) - 1
-        index_n = np.bincount(run[side == 0], minlength=len(new))
-        probe = np.flatnonzero(side == 1)
-        probe = probe[index_n[run[probe]] > 0]
-        count, first = index_n[run[probe]], new[run[probe]]
-        label = np.arange(len(key))
-        # rows of one node are one vertex
+        indexed = (key & 1) == 0
+        index_n = np.bincount(run[indexed], minlength=len(new))
+        place = np.arange(len(key)) - new[run]
+        # an index row meets those before it, a probe row all; in a cell off the diagonal of a cut bucket rows of the
+        # second block stand as probe rows
+        count = np.where(indexed, place, index_n[run])
+        rows = np.flatnonzero(count)
+        count, first = count[rows], new[run[rows]]
         _, at, back = np.unique(node, return_index=True, return_inverse=True)
-        label = np.minimum(label, at[back])
-        done = 0
-        while done < len(probe):
-            upto = done + max(1, int(np.searchsorted(np.cumsum(count[done:]), 2_000_000, "right")))
-            c = count[done:upto]
-            a = np.repeat(probe[done:upto], c)
-            b = np.repeat(first[done:upto], c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+        label = at[back]  # rows of one node are one vertex
+        done, upto = 0, np.cumsum(count)
+        while done < len(rows):
+            end = max(done + 1, int(np.searchsorted(upto, (upto[done - 1] if done else 0) + 500_000, "right")))
+            c = count[done:end]
+            a = np.repeat(rows[done:end], c)
+            b = np.repeat(first[done:end], c) + np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
             d = np.bitwise_count(fp[a] ^ fp[b])
             ok = d <= radius
             if wide_radius is not None:
-                ok &= d.astype(np.int64) + np.bitwise_count(fp2[a] ^ fp2[b]) <= wide_radius
+                a, b, d = a[ok], b[ok], d[ok]
+                ok = d.astype(np.int64) + np.bitwise_count(fp2[a] ^ fp2[b]) <= wide_radius
             label = local_roots(len(key), a[ok], b[ok], label)
-            done = upto
+            done = end
         out = np.flatnonzero(node[label] != node)
         return np.unique(np.stack([node[out], node[label[out]]], 1), axis=0) if len(out) else np.zeros((0, 2), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit(parts: list[np.ndarray]):
-            x = np.concatenate(parts)
-            got = pairs(x[:, :2], x[:, 2], x[:, 4].view(np.uint64), x[:, 5].view(np.uint64), x[:, 3])
+        def emit(x: np.ndarray) -> pa.RecordBatch:
+            got = pairs(x)
             return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(got[:, 0])), pa.array(np.ascontiguousarray(got[:, 1]))], names=["a", "b"])
 
         held: list[np.ndarray] = []
+        size = 0
         for batch in batches:
-            x = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)], 1)
-            if not len(x):
+            if not batch.num_rows:
                 continue
-            held.append(x)
-            if sum(map(len, held)) < 100_000:
+            held.append(np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)], 1))
+            size += batch.num_rows
+            first, last = held[0][0], held[-1][-1]
+            if size < 50_000 or (first[0] >> 1 == last[0] >> 1 and first[1] >> 1 == last[1] >> 1):
                 continue
             x = np.concatenate(held)
-            last = np.flatnonzero((x[:, :2] != x[-1, :2]).any(1))
-            cut = int(last[-1]) + 1 if len(last) else 0  # the last bucket may go on in the next batch
-            if cut:
-                yield emit([x[:cut]])
-            held = [x[cut:]]
-        if held:
-            yield emit(held)
+            cut = int(np.flatnonzero((x[:, 0] >> 1 != last[0] >> 1) | (x[:, 1] >> 1 != last[1] >> 1))[-1]) + 1
+            yield emit(x[:cut])  # the last bucket may go on in the next batch
+            held, size = [x[cut:]], len(x) - cut
+        if size:
+            yield emit(np.concatenate(held))
 
     return run
 
 
 def links(classes: DataFrame, radius: int, wide_radius: int | None = None, block: int = BLOCK) -> DataFrame:
     """Edges ``(a, b)`` between nodes of ``classes(node, fp, fp2)`` that join what lies within ``radius``; a spanning
-    forest of each bucket's links, never all its pairs."""
+    forest of each bucket's links, never all its pairs.
+
+    A bucket of more than ``block`` index rows is cut into blocks. Blocks i <= j of its index rows meet in a cell, the
+    rows of j as probe rows if they differ; a probe row meets every block.
+    """
     spark = classes.sparkSession
     n, both = bit_statistics(classes)
     if n < 2:
         return spark.createDataFrame([], "a long, b long")
     parts = plan(n, both, radius)
     index, probes = _rows(classes, parts, False), _rows(classes, parts, True)
-    full = materialise(index.groupBy("key").count().where(F.col("count") > block).select("key", F.ceil(F.col("count") / block).cast("int").alias("blocks")), "full")
-    own = F.pmod(F.xxhash64("node", "fp", "fp2"), F.coalesce(F.col("blocks"), F.lit(1))).cast("int")
-    others = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("blocks"), F.lit(1)) - 1))
+    full = materialise(index.groupBy("key").count().where(F.col("count") > block).select(F.shiftright("key", 1).alias("bucket"), F.ceil(F.col("count") / block).cast("int").alias("blocks")), "full")
+    rest = ["node", "fp", "fp2"]
+    rows = index.unionByName(probes)
     if full.isEmpty():
-        grid = lambda df, side: df.select("key", F.lit(0).cast("long").alias("cell"), F.lit(side).cast("long").alias("side"), "node", "fp", "fp2")
-    else:  # index block i meets probe block j in cell (i, j)
-        grid = lambda df, side: df.join(full, "key", "left").withColumn("own", own).withColumn("other", others).select("key", (F.col("own" if side == 0 else "other").cast("long") * (1 << 31) + F.col("other" if side == 0 else "own")).alias("cell"), F.lit(side).cast("long").alias("side"), "node", "fp", "fp2")
-    rows = grid(index, 0).unionByName(grid(probes, 1)).repartition(F.col("key"), F.col("cell")).sortWithinPartitions("key", "cell", "side")
-    return rows.mapInArrow(_compare(radius, wide_radius), "a long, b long")
-
-
-def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 10, wide_radius: int | None = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        rows = rows.select("key", F.lit(0).cast("long").alias("cell"), *rest)
+    else:
+        met = rows.withColumn("bucket", F.shiftright("key", 1)).join(full, "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        own, last = F.pmod(F.xxhash64(*rest), F.col("blocks")).cast("int"), F.col("blocks") - 1
+        cell = lambda i, j: (i.cast("long") * (1 << 31) + j.cast("long")) * 2
+        probe = (F.col("key") % 2) == 1
+        # (cell, 1 if the row probes there): for an index row of block b the cells (i, b) with i <= b and (b, j) with j > b
+        as_index = F.transform(F.sequence(F.lit(0), last), lambda k: F.when(k < F.col("own"), F.struct(cell(k, F.col("own")).alias("cell"), F.lit(1).alias("probe"))).otherwise(F.struct(cell(F.col("own"), k).alias("cell"), F.lit(0).alias("probe"))))
+        as_probe = F.transform(F.sequence(F.lit(0), last), lambda k: F.struct(cell(k, k).alias("cell"), F.lit(1).alias("probe")))
+        spread = met.withColumn("own", own).withColumn("c", F.explode(F.when(probe, as_probe).otherwise(as_index)))
+        rows = spread.select((F.col("bucket") * 2 + F.col("c.probe")).alias("key"), F.col("c.cell").alias("cell"), *rest)
+    dealt = rows.repartition(F.shiftright("key", 1), F.col("cell")).sortWithinPartitions("cell", "key")
+    return dealt.mapInArrow(_compare(radius, wide_radius), "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 12, wide_radius: int | None = 22, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, fp, fp2, component_id)`` for each row: the smallest id that links reach.
 
     With ``wide_radius`` fingerprints have 128 bits: the first 64 find candidates within ``radius``, and all 128 must
     differ in at most ``wide_radius``. A pair's expected share of differing bits is its shingle vectors' angle over
-    pi, so 20 of 128 stand for a cosine of 0.88 and a Jaccard similarity of 0.8. Equal fingerprints are one vertex
+    pi, so a Jaccard similarity of 0.8 (a cosine of 0.89) gives 19 of 128
+    on average, and 22 leave room for its spread. Equal fingerprints are one vertex
     from the start, so a group of exact copies costs one row.
     """
     prints = materialise(fingerprints(docs, shingle, wide_radius is not None, id_col, text_col), "prints")
@@ -287,8 +312,9 @@ def _same_id(prints: DataFrame, classes: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without all but one row of each group of near-duplicates: that with the smallest id."""
     found = materialise(near_duplicates(docs, **options).select("doc_id", "component_id"), "components")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
+    gone = materialise(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    # ids alone are sent to the documents where their number is known to be small; else both sides are shuffled
+    kept = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti")
     twice = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if twice.isEmpty():
         return kept
