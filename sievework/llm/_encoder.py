@@ -25,9 +25,9 @@ _WORD_END_FILE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class Encoder:
-    """``encode(texts)`` yields an int64 array of ids for each text. Keeps ``most`` pre-tokens at a time."""
+    """``encode(texts)`` yields an int64 array of ids for each text. Keeps the pre-tokens met last, ``most`` to twice as many."""
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 120_000):
         from tokenizers import Tokenizer
 
         self.library, self.most = Tokenizer.from_file(path), most
@@ -44,21 +44,54 @@ class Encoder:
         if not all("<|" in t for t in added):
             self.find = None
         self._clear()
+        self._age()
 
     def _clear(self) -> None:
         self.at = Numbered()
         self.size, self.first = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids, self.used = np.zeros(1 << 16, np.int64), 0
+        self.ids, self.used = np.zeros(1 << 16, np.int32), 0
+
+    def _age(self) -> None:
+        """Start anew, with the present pre-tokens at hand: those met again are taken from there."""
+        self.old = (dict(self.at), self.size, self.first, self.ids)
+        self._clear()
 
     def _raw(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
     def _learn(self) -> None:
-        """Encode the pre-tokens numbered since the last call, 200 to a text; one by one where a text can't be told apart."""
+        """Ids of the pre-tokens numbered since the last call."""
         words = self.at.new
         if not words:
             return
         self.at.new = []
+        known, size, first, ids = self.old
+        again = [known.get(w, -1) for w in words]
+        if max(again) >= 0:  # in the order of their numbers, so that known ones and new ones are put in by turns
+            fresh = [w for w, k in zip(words, again, strict=True) if k < 0]
+            got = self._encode(fresh) if fresh else (ids[:0], size[:0])
+            k = np.array(again)
+            sizes = np.where(k >= 0, size[k], 0) if len(size) else np.zeros(len(k), np.int64)
+            sizes[k < 0] = got[1]
+            pool = np.concatenate([got[0].astype(np.int32), ids])
+            start = np.zeros(len(k), np.int64)
+            start[k < 0] = np.cumsum(got[1]) - got[1]
+            start[k >= 0] = first[k[k >= 0]] + len(got[0])
+            before = np.cumsum(sizes) - sizes
+            self._put(pool[np.repeat(start - before, sizes) + np.arange(int(sizes.sum()))], sizes)
+        else:
+            self._put(*self._encode(words))
+
+    def _put(self, ids: np.ndarray, size: np.ndarray) -> None:
+        self.first = np.concatenate([self.first, self.used + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(self.used + len(ids), np.int32)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens, and how many each has; 200 to a text, one by one where a text can't be told apart."""
         parts = [words[i : i + 200] for i in range(0, len(words), 200)]
         sep = " " if self.ends is not None else "\n"
         whole = [p for p in parts if self.ends is not None or all(map(str.strip, p))]
@@ -79,17 +112,11 @@ class Encoder:
             each = [self._raw(w) for w in part]
             found += [np.array(x, np.int64) for x in each]
             sizes.append(np.array([len(x) for x in each], np.int64))
-        ids, size = np.concatenate(found), np.concatenate(sizes)
-        self.first = np.concatenate([self.first, self.used + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        if self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(self.used + len(ids), np.int64)])
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
+        return np.concatenate(found), np.concatenate(sizes)
 
     def _group(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.at) > self.most:
-            self._clear()
+            self._age()
         which: list[np.ndarray | str] = []
         for text in texts:
             if self.find is None or "<|" in text or not _PLAIN.fullmatch(text):

@@ -1,45 +1,24 @@
-"""Shared-folder tables, file access and connected components for this subpackage."""
+"""Shared-folder tables, file access and small steps that operators of this subpackage have in common."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-_own: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a private one is made only where that is unset (local tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="sievework-")
-        spark.sparkContext.setCheckpointDir(_own[app])
-    return _own[app]
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/sievework/{uuid.uuid4().hex}/{name}"
+from sievework.plans.graph import connected_components
+from sievework.plans.tables import forget, fresh_path, materialise, shared_dir
 
+__all__ = ["connected_components", "forget", "fresh_path", "local_roots", "materialise", "null_safe_key", "open_fs", "shared_dir", "small_batches"]
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: later steps neither recompute it nor depend on executors."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Rows of an Arrow batch of whole texts: some 3 MB of usual documents, so that long ones don't fill a worker.
+BATCH_ROWS = 1000
 
 
-def forget(df: DataFrame) -> None:
-    """Delete a table made by :func:`materialise`."""
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-    for top in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(top)
-        path.getFileSystem(conf).delete(path, True)
+def small_batches(spark: SparkSession) -> None:
+    """Hold Arrow batches to BATCH_ROWS rows in this session, for operators whose rows have whole texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
 
 
 def open_fs(uri: str):
@@ -54,35 +33,6 @@ def null_safe_key(column: str):
     return F.when(F.col(column).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(column).cast("string")))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """Components of an undirected graph by alternating large-star and small-star steps.
-
-    ``edges(a long, b long)``, nulls and loops ignored. Returns ``(node, component)`` for every node that has an
-    edge; component is the smallest node reachable. Each step is a partial-aggregated minimum and a join, so a hub
-    costs no task more than its share; lineage is cut by a table in the shared folder each round.
-    """
-    e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e = materialise(e, "edges")
-    state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    for _ in range(max_rounds):
-        if not state[0]:
-            break
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
-        new = materialise(small.select("e.u", "e.v").where("u <> v").distinct(), "edges")
-        now = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        forget(e)
-        e, done, state = new, now == state, now
-        if done:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
-
-
 def local_roots(n: int, a, b, label=None):
     """Smallest-index labels of 0..n-1 after joining a[i] with b[i]; ``label`` continues an earlier call."""
     import numpy as np

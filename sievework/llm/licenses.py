@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm._encoder import Numbered
-from sievework.llm._runtime import materialise
+from sievework.llm._runtime import materialise, small_batches
 
 #: Phrases that have to stand word for word, and their labels: fixed values.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -63,7 +63,7 @@ _BYTES = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)).lo
 class Hasher:
     """64-bit hashes of rolling k-grams: each word's own hash, combined by position."""
 
-    def __init__(self, k: int, most: int = 500_000):
+    def __init__(self, k: int, most: int = 150_000):
         self.k, self.most = k, most
         self._clear()
 
@@ -179,6 +179,7 @@ def verify(docs: DataFrame, spans: DataFrame, listed: list[tuple[str, list[bytes
 
 def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: list[tuple[str, str]] = TEMPLATES, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score)`` for each row."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     listed, table = templates(k, phrases, notices)
     if any(len(w) < k for _, w, _ in listed):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm._runtime import materialise, null_safe_key
+from sievework.llm._runtime import materialise, null_safe_key, small_batches
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words of a shard, and the most shards of a source: bounds what the driver gets to sources * MOST_SHARDS rows.
@@ -143,6 +143,7 @@ def take(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, columns as they were: a row for each whole copy, and one for each extra span, with
     ``text`` cut to it (and ``n_chars``, where there is one, set to its length). Documents taken 0 times go; those
     without words, of which the mix can't take any, go too."""
+    small_batches(docs.sparkSession)
     plan = materialise(mix(docs, **options).where("taken > 0").select(F.col("doc_id").alias("_id"), F.xxhash64("source").alias("_source"), F.col("size").alias("_size"), "copies", "extra").withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("copies", F.size("extra")))), "mix")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     rows = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_source", F.xxhash64("source")).withColumn("_size", size)

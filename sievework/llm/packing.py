@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.llm._encoder import encoder
-from sievework.llm._runtime import materialise
+from sievework.llm._runtime import materialise, small_batches
 
 #: Groups into which the pieces of one length are dealt for ranking; part of the histogram's bound of size * SALTS rows.
 SALTS = 64
@@ -44,6 +44,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, i
                     crc.append(zlib.crc32(raw[a:b].tobytes()))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
@@ -60,9 +61,9 @@ def complement(left: np.ndarray, gap: int, most: int = 3) -> tuple[int, ...] | N
         return (gap,)
     if most > 1 and (two := _two(left, gap)):
         return two
-    for a in np.flatnonzero(left[1:gap])[::-1] + 1:
     if most < 3:
         return None
+    for a in np.flatnonzero(left[1:gap])[::-1] + 1:
         if 3 * a < gap:
             break
         left[a] -= 1

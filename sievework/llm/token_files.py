@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.llm._encoder import encoder
-from sievework.llm._runtime import fresh_path, materialise, open_fs
+from sievework.llm._runtime import fresh_path, materialise, open_fs, small_batches
 
 MAGIC, CHUNK, STEP = b"SWDAC001", 8, 512
 #: A file is closed when it has so many tokens: what a writer or reader holds in memory.
@@ -107,6 +107,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | None = N
     name when it is whole: a repeated attempt writes the same bytes under the same name.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     path = path or fresh_path(spark, "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

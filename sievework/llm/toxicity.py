@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm._encoder import Numbered
+from sievework.llm._runtime import small_batches
 
 WIDTHS, FILTERS, DIM, BUCKETS = (1, 2, 3), 8, 8, 1 << 17
 TAPS = sum(WIDTHS) * FILTERS
@@ -79,7 +80,7 @@ class Model:
 class Scorer:
     """Scores texts; keeps the filter responses of the words met, at most ``most`` of them."""
 
-    def __init__(self, model: Model, most: int = 300_000):
+    def __init__(self, model: Model, most: int = 60_000):
         self.model, self.most = model, most
         self._clear()
 
@@ -249,6 +250,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` and ``toxic`` (0 or 1, by the threshold of the row's language, 0.7 where it has none)."""
     if clash := {"score", "toxic", "_logit"} & {c.lower() for c in docs.columns}:
         docs = docs.drop(*clash)
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 4 MB at any corpus size
     kept: dict[str, Scorer] = {}
 
