@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import embed_dedup, licenses, mixing, packing, secrets, simhash, token_files, topk, toxicity, warc
+from sievework.llm import embed_dedup, licenses, mixing, packing, secrets, secrets_sql, simhash, token_files, topk, toxicity, warc
 from sievework.llm._encoder import public_tokenizer
 
 
@@ -87,4 +87,16 @@ s AS (
     FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op9_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+d AS (
+    SELECT page_id, octet_length(encode(h)) AS n, max(page_id) OVER (PARTITION BY x) AS top,
+           array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + ((('0x' || substr(x, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) & 31), 1)), '') AS payload_digest
+    FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM d""",
+    "op8_secrets": secrets_sql.oracle(),
 }
