@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm._runtime import fresh_path, materialise, open_fs
+from sievework.llm._runtime import fresh_path, materialise, open_fs, small_batches
 
 DICTIONARY_MAGIC = 0x184D2A5D
 #: The dictionary's size, and its sample: so many records of at most so many bytes.
@@ -43,7 +43,7 @@ def record_id(page_id: int | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page_id} {digest}')}>"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool, minimum: int) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
     """One WARC record; ``refers_to`` is the response's id where ``revisit``."""
     digest = base32(hashlib.sha1(payload).digest())
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
@@ -117,12 +117,16 @@ def write(pages: DataFrame, path: str | None = None, minimum: int = 0, dictionar
     once. A repeated attempt writes the same bytes under the same name.
     """
     spark = pages.sparkSession
+    small_batches(spark)
     path = path or fresh_path(spark, "warc")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html").withColumn("digest", F.sha1(_payload()))
     large = F.octet_length(F.coalesce("html", F.lit(""))) >= minimum
     shared = materialise(rows.where(large).groupBy("digest").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1").select("digest", "response"), "shared")
-    sample = rows.where(F.octet_length(F.coalesce("html", F.lit(""))).between(1, SAMPLE_BYTES)).orderBy(F.xxhash64("digest"), "page_id").limit(SAMPLE).collect()
-    records = [record(r.page_id, r.url, r.html.encode("utf-8", "surrogatepass"), None, False, minimum) for r in sample]
+    usual = rows.where(F.octet_length(F.coalesce("html", F.lit(""))).between(1, SAMPLE_BYTES))
+    # twice the sample by a share of the hashes: tasks send few rows each, however many tasks there are
+    part = F.pmod(F.xxhash64(F.lit(1), "digest"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * SAMPLE / max(1, usual.count())))
+    sample = usual.where(part).orderBy(F.xxhash64("digest"), "page_id").limit(SAMPLE).collect()
+    records = [record(r.page_id, r.url, r.html.encode("utf-8", "surrogatepass"), None, False) for r in sample]
     dictionary = spark.sparkContext.broadcast(build_dictionary(records, dictionary_size))  # at most dictionary_size bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +153,7 @@ def write(pages: DataFrame, path: str | None = None, minimum: int = 0, dictionar
                     out.write(struct.pack("<II", DICTIONARY_MAGIC, len(dictionary.value)) + dictionary.value)
                     n, size = 0, 8 + len(dictionary.value)
                 page, to = page_id.as_py(), response.as_py()
-                frame = pack.compress(record(page, url.as_py(), (html.as_py() or "").encode("utf-8", "surrogatepass"), to, bool(twin.as_py()) and to is not None and page != to, minimum))
+                frame = pack.compress(record(page, url.as_py(), (html.as_py() or "").encode("utf-8", "surrogatepass"), to, bool(twin.as_py()) and to is not None and page != to))
                 out.write(frame)
                 n, size = n + 1, size + len(frame)
                 if size >= file_bytes:
