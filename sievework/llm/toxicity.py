@@ -1,6 +1,7 @@
 """Toxicity by a convolutional text classifier, trained in numpy.
 
-A word's embedding is the sum of two rows of a hashed table, so two words share one only if both hashes agree. Filters
+A word has two rows of a hashed table; of each component its embedding has the one nearer to zero, so that a word that
+shares only one of its rows with another doesn't look like it. Filters
 of widths 1, 2 and 3 run over the words, each keeps its largest response in the whole text, and a logistic layer reads
 those. One dimension of the table starts from the smoothed log-odds of a bucket among toxic texts; all of it is
 trained. Scores are shifted so that the threshold best on calibration rows stands at 0.7; each language with enough
@@ -23,13 +24,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm._encoder import Numbered
 from sievework.llm._runtime import small_batches
 
-WIDTHS, FILTERS, DIM, BUCKETS = (1, 2, 3), 8, 8, 1 << 17
+WIDTHS, FILTERS, DIM, BUCKETS = (1, 2, 3), 8, 8, 1 << 18
 TAPS = sum(WIDTHS) * FILTERS
 REJECT = 0.7
 _WORD = re.compile(r"\w+")
@@ -40,8 +42,14 @@ def words(text: str | None) -> list[str]:
 
 
 def buckets(word: str) -> tuple[int, int]:
-    raw = word.encode("utf-8", "surrogatepass")
-    return zlib.crc32(raw) % BUCKETS, zlib.crc32(raw, 0x9E3779B9) % BUCKETS
+    h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+    return h % BUCKETS, (h >> 32) % BUCKETS
+
+
+def embeddings(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Rows of words by their two buckets: of each component the one nearer to zero."""
+    a, b = table[hashes[:, 0]], table[hashes[:, 1]]
+    return np.where(np.abs(a) <= np.abs(b), a, b)
 
 
 @dataclass
@@ -92,7 +100,7 @@ class Scorer:
         if new := self.at.new:
             self.at.new = []
             h = np.array([buckets(w) for w in new])
-            got = (self.model.table[h[:, 0]] + self.model.table[h[:, 1]]) @ self.model.taps
+            got = embeddings(self.model.table, h) @ self.model.taps
             if self.n + len(new) > len(self.taps):
                 self.taps = np.concatenate([self.taps[: self.n], np.zeros((self.n + len(new), TAPS), np.float32)])
             self.taps[self.n : self.n + len(new)] = got
@@ -178,7 +186,7 @@ def fit(texts: list[str], labels: np.ndarray, langs: list[str | None], calibrati
             sizes = np.array([len(rows[i]) for i in lot])
             ids = np.concatenate([np.append(rows[i], (-1, -1)) for i in lot])
             h = np.where(ids[:, None] < 0, 0, hashes[ids])
-            x = (model.table[h[:, 0]] + model.table[h[:, 1]]) * (ids >= 0)[:, None]
+            x = embeddings(model.table, h) * (ids >= 0)[:, None]
             pooled, convs = model.pooled(x @ model.taps, sizes)
             act = np.maximum(pooled + model.bias[:-1], 0)
             gz = ((sigmoid(act @ model.weight + model.bias[-1]) - yt[lot]) * cost[lot] / len(lot)).astype(np.float32)
@@ -202,7 +210,7 @@ def fit(texts: list[str], labels: np.ndarray, langs: list[str | None], calibrati
             where, pulls = np.concatenate(touched), np.concatenate(pulls)
             rowsat, back = np.unique(where, return_inverse=True)
             g = np.zeros((len(rowsat), DIM), np.float32)
-            for s in (0, 1):
+            for s in (0, 1):  # both rows of a word are pulled
                 np.add.at(g, back.reshape(where.shape)[:, s], pulls)
             speed["table"][rowsat] += g * g
             model.table[rowsat] -= rate * g / np.sqrt(speed["table"][rowsat])
@@ -251,7 +259,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     if clash := {"score", "toxic", "_logit"} & {c.lower() for c in docs.columns}:
         docs = docs.drop(*clash)
     small_batches(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # 4 MB at any corpus size
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # 8 MB at any corpus size
     kept: dict[str, Scorer] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
