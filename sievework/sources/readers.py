@@ -232,3 +232,12 @@ class RangeReader:
         run.__annotations__ = dict.fromkeys(("files", "offsets", "lengths", "return"), pd.Series)
         out = df.withColumn(out_col, F.pandas_udf(run, "binary")(file_col, offset_col, length_col))
         return out.where(F.col(out_col).isNotNull()) if drop_failed else out
+
+
+def read_wav_tree(spark: SparkSession, folder: str, limit: int | None = None, path_field: str = "audio_filepath") -> DataFrame:
+    """``(audio_filepath, duration)`` of the WAV files in a folder and below; a duration of -1 for those that can't be read."""
+    from sievework.operators.segments import wav_duration
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.wav").load(folder)
+    files = files.limit(limit) if limit is not None else files
+    return files.select(F.col("path").alias(path_field), wav_duration(F.col("content")).alias("duration"))

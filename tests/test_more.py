@@ -85,3 +85,22 @@ def test_url_lists():
     assert extract.wiki_dump_urls("en", "20240101", status, "http://d") == ["http://d/enwiki/20240101/a.xml.bz2", "http://d/enwiki/20240101/b.xml.bz2"]
     assert extract.tar_names("2020 1 2 b.tar\n2020 1 2 a.tar\nx y") == ["a.tar", "b.tar"]
     assert extract.fresh_downloads(["http://x/a", "http://x/b"], ["a"]) == ["http://x/b"]
+
+
+def test_wav_tree_and_lance(spark, tmp_path):
+    from importlib.util import find_spec
+
+    from sievework.sources.lance import read_lance
+    from sievework.sources.readers import read_wav_tree
+
+    (tmp_path / "a").mkdir()
+    with wave.open(str(tmp_path / "a" / "x.wav"), "wb") as w:
+        w.setnchannels(1)
+        w.setsampwidth(2)
+        w.setframerate(100)
+        w.writeframes(b"\0\0" * 50)
+    (tmp_path / "a" / "bad.wav").write_bytes(b"no")
+    assert sorted(r.duration for r in read_wav_tree(spark, f"file://{tmp_path}").collect()) == [-1.0, 0.5]
+    if not find_spec("lance"):
+        with pytest.raises(ImportError):
+            read_lance(spark, "x", "a int")
