@@ -10,11 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 _own: dict[str, str] = {}
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system, so that Spark and other readers mean the same place."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString().rstrip("/")
+    return full if not full.startswith("file:/") or full.startswith("file:///") else full.replace("file:/", "file:///", 1)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a private one is made only where that is unset (local tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named.rstrip("/")
+        return qualified(spark, named)
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="sievework-")

@@ -4,6 +4,7 @@ import io
 import json
 import wave
 import zipfile
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -104,3 +105,15 @@ def test_wav_tree_and_lance(spark, tmp_path):
     if not find_spec("lance"):
         with pytest.raises(ImportError):
             read_lance(spark, "x", "a int")
+
+
+def test_shared_folder(spark, tmp_path):
+    from sievework.plans import tables
+
+    assert {tables.qualified(spark, p) for p in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}/")} == {f"file://{tmp_path}"}
+    assert tables.shared_dir(spark) == tables.shared_dir(spark)
+    df = tables.materialise(spark.range(3), "t")
+    files = df.inputFiles()
+    assert df.count() == 3 and files
+    tables.forget(df)
+    assert not Path(files[0].removeprefix("file://")).exists()
