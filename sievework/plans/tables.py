@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 
 
+def reach(spark: SparkSession) -> None:
+    """Let Python workers find this library where the driver has it, whatever folder the job was started in. On executors
+    that don't share that folder the library has to be installed or sent with --py-files."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """A path with its file system, so that Spark and other readers mean the same place."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
