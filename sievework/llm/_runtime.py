@@ -6,16 +6,18 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from sievework.plans.graph import connected_components
-from sievework.plans.tables import forget, fresh_path, materialise, shared_dir
+from sievework.plans.tables import forget, fresh_path, materialise, reach, shared_dir
 
-__all__ = ["connected_components", "forget", "fresh_path", "local_roots", "materialise", "null_safe_key", "open_fs", "shared_dir", "small_batches"]
+__all__ = ["connected_components", "forget", "fresh_path", "local_roots", "materialise", "null_safe_key", "open_fs", "reach", "shared_dir", "small_batches"]
 
 #: Rows of an Arrow batch of whole texts: some 3 MB of usual documents, so that long ones don't fill a worker.
 BATCH_ROWS = 1000
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hold Arrow batches to BATCH_ROWS rows in this session, for operators whose rows have whole texts."""
+    """Hold Arrow batches to BATCH_ROWS rows in this session, for operators whose rows have whole texts; workers find this
+    library."""
+    reach(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))

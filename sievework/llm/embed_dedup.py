@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm._runtime import connected_components, local_roots, materialise
+from sievework.llm._runtime import connected_components, local_roots, materialise, reach
 
 THRESHOLD, MARGIN = 0.9, 0.12
 #: Classes that a cell should have, the most cells, and the classes that centroids are fitted on.
@@ -153,6 +153,7 @@ def _products(threshold: float):
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for each row."""
     spark = vectors.sparkSession
+    reach(spark)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vec"))
     rows = rows.withColumn("ok", usable("vec") & F.col("vec_id").isNotNull())
     # two hashes name a vector's class

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm._runtime import materialise
+from sievework.llm._runtime import materialise, reach
 
 SCALE, K = 256, 5
 #: Points of a block, queries of a query block, pivots of a vector length, and the points pivots are chosen from.
@@ -142,6 +142,7 @@ def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE, id_col:
     """``(query_id, rank, vec_id, score)``: for each row where ``is_query`` (a Column over ``vec_id``) holds, the k
     highest integer inner products with the others, ties to the smaller id."""
     spark = vectors.sparkSession
+    reach(spark)
     rows = materialise(quantised(vectors, scale, id_col, vector_col), "vectors")
     pivots = {}
     tame = ~F.exists("x", lambda v: F.abs(v) > WILD)
