@@ -61,13 +61,17 @@ def fingerprint(hashes: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, wide: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp, fp2)``; fp2 holds 64 further bits where ``wide``, else 0."""
+    """``(doc_id, fp, fp2)``. Where ``wide``, fp2 holds 64 further bits, and each distinct shingle counts once, as in a
+    Jaccard similarity; else fp2 is 0 and shingles count as often as they stand."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = np.zeros((batch.num_rows, 2), np.uint64)
             for i, text in enumerate(batch.column(1)):
-                got = fingerprint(shingle_hashes(text.as_py() or "", shingle, wide))
+                hashes = shingle_hashes(text.as_py() or "", shingle, wide)
+                if wide:
+                    hashes = hashes[np.unique(hashes[:, 0], return_index=True)[1]]
+                got = fingerprint(hashes)
                 out[i, : len(got)] = got
             signed = out.view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed[:, 0]), pa.array(signed[:, 1])], names=["doc_id", "fp", "fp2"])
