@@ -314,8 +314,10 @@ def _same_id(prints: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without all but one row of each group of near-duplicates: that with the smallest id."""
-    found = materialise(near_duplicates(docs, **options).select("doc_id", "component_id"), "components")
+    """``docs`` without all but one row of each group of texts whose shingle sets are similar: that with the smallest id."""
+    from sievework.llm import shingle_join
+
+    found = materialise(shingle_join.near_duplicates(docs, **options), "components")
     gone = materialise(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
     # ids alone are sent to the documents where their number is known to be small; else both sides are shuffled
     kept = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti")
