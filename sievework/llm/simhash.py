@@ -327,3 +327,22 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     # an id that more than one row has: one of them stays
     again = kept.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("r")).select("doc_id", "r.*").select(*docs.columns)
     return kept.join(twice, "doc_id", "left_anti").unionByName(again)
+
+
+def keep_one_text(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs`` with one row of each group of similar texts, decided by row: texts of one id stay apart, where
+    :func:`keep_one` takes an id for one document. Rows with a null id stay."""
+    from sievework.llm import shingle_join
+
+    found = materialise(shingle_join.kept_texts(docs, shingle, similarity), "kept")
+    per_id = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_or("kept").alias("kept"))
+    aside = materialise(per_id.where("n > 1 OR NOT kept").select("doc_id", "n"), "aside")
+    ids = aside.select("doc_id")
+    kept = docs.join(F.broadcast(ids) if aside.count() <= BROADCAST_IDS else ids, "doc_id", "left_anti").select(*docs.columns)
+    twice = aside.where("n > 1").select("doc_id")
+    if twice.isEmpty():
+        return kept
+    rest = [c for c in docs.columns if c != "doc_id"]
+    again = docs.join(twice, "doc_id", "left_semi").select("doc_id", F.struct(*rest).alias("r"), shingle_join.digests(F.col("text"), shingle).alias("d"))
+    again = again.select("doc_id", "r", F.col("d.h1").alias("h1"), F.col("d.h2").alias("h2")).join(found.where("kept").select("doc_id", "h1", "h2").distinct(), ["doc_id", "h1", "h2"], "left_semi")
+    return kept.unionByName(again.groupBy("doc_id", "h1", "h2").agg(F.min("r").alias("r")).select("doc_id", "r.*").select(*docs.columns))
