@@ -264,7 +264,7 @@ ALGORITHMS: dict[str, Callable[..., str | None]] = {"blocks": main_text, "densit
 
 def guess_language(text: str) -> str:
     """The language whose stop words are most frequent; en where none is."""
-    return max(STOP_WORDS, key=lambda k: (stop_word_share(text[:20_000], STOP_WORDS[k]), k == "en"))
+    return max(STOP_WORDS, key=lambda k: (stop_word_share(text, STOP_WORDS[k]), k == "en"))
 
 
 def extract_html(df: DataFrame, html_field: str = "html", algorithm: str = "blocks", language_field: str | None = None, **options) -> DataFrame:

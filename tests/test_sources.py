@@ -106,3 +106,7 @@ def test_incremental(spark, tmp_path):
     spark.range(10, 12).write.parquet(f"file://{tmp_path}/in/2")
     assert run() == 1 and run() == 0
     assert sorted(r.id for r in spark.read.parquet(f"file://{tmp_path}/out").collect()) == [1, 2, 10, 11]
+
+
+def test_language_is_guessed_from_the_whole_page():
+    assert X.guess_language("the house and the garden of the king " * 700 + "der Hund und die Katze sind nicht in dem Haus " * 3000) == "de"
