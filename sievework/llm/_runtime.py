@@ -6,9 +6,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from sievework.plans.graph import connected_components
+from sievework.plans.skew import join_about
 from sievework.plans.tables import forget, fresh_path, materialise, reach, shared_dir
 
-__all__ = ["connected_components", "forget", "fresh_path", "local_roots", "materialise", "null_safe_key", "open_fs", "reach", "shared_dir", "small_batches"]
+__all__ = ["connected_components", "forget", "fresh_path", "join_about", "local_roots", "materialise", "null_safe_key", "open_fs", "reach", "shared_dir", "small_batches", "tidy"]
 
 #: Rows of an Arrow batch of whole texts: some 3 MB of usual documents, so that long ones don't fill a worker.
 BATCH_ROWS = 1000
@@ -23,6 +24,31 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def tidy(run):
+    """``run``, a function of an iterator of batches, that gives freed memory back to the system when its task ends:
+    Python workers outlive tasks, and their allocators keep what they have taken."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return whole
+
+
+def _give_back() -> None:
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
 def open_fs(uri: str):
     """(filesystem, path) of a URI, for executors that write or read whole files."""
     from pyarrow import fs

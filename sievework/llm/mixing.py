@@ -1,40 +1,53 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-A source's words are laid out as equal blocks: its documents are dealt to shards by a hash of their ids, and in each
-shard stand one after the other in the order of a seeded hash. All targets together give a number of blocks, which go to
-sources by highest quotients (target / 1, 3, 5, ...), and each source's quota goes to its shards in the same way, by
-their sizes. A shard of n blocks with a quota of q takes every block q // n times, and q % n neighbouring blocks, from a
-seeded place on and round the end, once more. As documents stand in random order that is a random choice; only the
-documents at its two ends are cut.
+A source's words are laid out as equal blocks: its documents are dealt to shards by a hash of their ids and texts, and in
+each shard stand one after the other in the order of a seeded hash. All targets together give a number of blocks, which
+go to sources by highest quotients (target / 1, 3, 5, ...), and each source's quota goes to its shards in the same way,
+by their sizes. A shard of n blocks with a quota of q takes every block q // n times, and once more the first q % n
+blocks of a seeded order. Documents are cut where a chosen block begins or ends.
 
 Edge cases: null and empty texts have size 0 and take nothing. The null source comes last. Repeated rows count each.
-Without words every target is 0. Columns other than id, text and source are ignored by :func:`mix`.
+Without words every target is 0. Columns other than id, text and source are ignored by :func:`mix`, and kept as they
+are, whatever their names, by :func:`take`.
 """
 
 from __future__ import annotations
 
 import heapq
+import random
 import re
+import zlib
 from collections.abc import Iterator
 from fractions import Fraction
 from itertools import cycle
+from math import gcd
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm._runtime import materialise, null_safe_key, small_batches
+from sievework.llm._runtime import materialise, null_safe_key, small_batches, tidy
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words of a shard, and the most shards of a source: bounds what the driver gets to sources * MOST_SHARDS rows.
 SHARD, MOST_SHARDS = 1 << 20, 1024
 #: A block has at most so many words; fewer where the smallest source would have less than 512 blocks.
 BLOCK, BLOCKS = 1024, 512
+#: Rows up to which a table of sources or of shards (some 100 bytes each) is broadcast.
+MOST_SENT = 100_000
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``(doc_id, source, size)``."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    """``(doc_id, source, size, hash)``, the last of the text."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), _words(text_col).alias("size"), _hash(text_col).alias("hash"))
+
+
+def _words(text_col: str) -> Column:
+    return F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def _hash(text_col: str) -> Column:
+    return F.xxhash64(text_col)
 
 
 def targets(sources: dict, weights: list[int], share: Fraction, repeat: int = 2) -> dict:
@@ -88,9 +101,18 @@ def sainte_lague(weights: list[Fraction], seats: int, most: list[int]) -> list[i
     return got
 
 
+def permutation(n: int, seed: int) -> tuple[int, int]:
+    """(a, b) for which block -> (a * block + b) mod n puts n blocks in a seeded order."""
+    rng = random.Random(seed)
+    a = rng.randrange(1, min(n, 1 << 20) + 1)
+    while gcd(a, n) > 1:
+        a = a % min(n, 1 << 20) + 1
+    return a, rng.randrange(n)
+
+
 def mix(docs: DataFrame, weights: list[int] = (3, 1, 2), share: Fraction = Fraction(3, 2), repeat: int = 2, seed: int = 11, **columns) -> DataFrame:
     """``(doc_id, source, size, source_size, target, copies, extra, taken)``: a document is taken ``copies`` times whole,
-    and once more for the words of each ``extra`` span (from, to), of which there are two at most."""
+    and once more for the words of each ``extra`` span (from, to)."""
     spark = docs.sparkSession
     sized = materialise(sizes(docs, **columns).withColumn("key", null_safe_key("source")), "sizes")
     sources = {r.source: r.size for r in sized.groupBy("source").agg(F.sum("size").alias("size")).collect()}  # a row a source, each with a weight
@@ -99,11 +121,16 @@ def mix(docs: DataFrame, weights: list[int] = (3, 1, 2), share: Fraction = Fract
     block = max(1, min(BLOCK, min(positive, default=1) // BLOCKS))
     keys = {s: "n" if s is None else f"v{s}" for s in sources}
     about = spark.createDataFrame([(keys[s], n, float(target[s]), max(1, min(MOST_SHARDS, n // SHARD))) for s, n in sources.items()], "key string, source_size long, target double, shards int")
-    dealt = sized.join(about, "key").withColumn("order", F.xxhash64(F.lit(seed), "doc_id")).withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.col("shards")).cast("int"))
+    if len(sources) <= MOST_SENT:
+        about = F.broadcast(about)
+    place = F.xxhash64(F.lit(seed + 1), "doc_id", "hash")
+    dealt = sized.join(about, "key").withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "hash")).withColumn("shard", F.pmod(place, F.col("shards")).cast("int"))
     shards = sorted(dealt.groupBy("key", "shard").agg(F.sum("size").alias("size")).collect(), key=lambda r: (r.key, r.shard))
     order = sorted(sources, key=lambda s: (s is None, s or ""))
     n_blocks = {(r.key, r.shard): -(-r["size"] // block) for r in shards}
-    of = {keys[s]: [r for r in shards if r.key == keys[s]] for s in order}
+    of: dict[str, list] = {}
+    for r in shards:
+        of.setdefault(r.key, []).append(r)
     most = [repeat * sum(n_blocks[keys[s], r.shard] for r in of[keys[s]]) for s in order]
     quotas = sainte_lague([target[s] for s in order], round(sum(target.values()) / block), most)
     plan = []
@@ -112,17 +139,23 @@ def mix(docs: DataFrame, weights: list[int] = (3, 1, 2), share: Fraction = Fract
         each = sainte_lague([Fraction(r["size"]) for r in rows], quota, [repeat * n_blocks[keys[s], r.shard] for r in rows])
         for r, q in zip(rows, each, strict=True):
             n = max(1, n_blocks[keys[s], r.shard])
-            plan.append((keys[s], r.shard, n, q // n, q % n))
-    plan = spark.createDataFrame(plan, "key string, shard int, blocks long, rounds long, more long").withColumn("first", F.pmod(F.xxhash64(F.lit(seed + 2), "key", "shard"), F.col("blocks")))
-    until = F.sum("size").over(Window.partitionBy("key", "shard").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0))
-    laid = dealt.withColumn("end", until).withColumn("begin", F.col("end") - F.col("size")).join(plan, ["key", "shard"])
-    span = lambda a, b: F.struct(F.greatest("begin", a * block).alias("a"), F.least("end", b * block).alias("b"))
-    last, zero = F.col("first") + F.col("more"), F.lit(0).cast("long")
-    spans = F.array(span(F.col("first"), F.least(last, "blocks")), span(zero, F.greatest(zero, last - F.col("blocks"))))
-    extra = F.transform(F.filter(spans, lambda s: s["b"] > s["a"]), lambda s: F.struct((s["a"] - F.col("begin")).alias("from"), (s["b"] - F.col("begin")).alias("to")))
-    out = laid.withColumn("extra", extra)
+            plan.append((keys[s], r.shard, n, q // n, q % n, *permutation(n, zlib.crc32(f"{seed} {keys[s]} {r.shard}".encode()))))
+    planned = spark.createDataFrame(plan, "key string, shard int, blocks long, rounds long, more long, a long, b long")
+    if len(plan) <= MOST_SENT:
+        planned = F.broadcast(planned)
+    until = F.sum("size").over(Window.partitionBy("key", "shard").orderBy("order", "doc_id", "hash", "size").rowsBetween(Window.unboundedPreceding, 0))
+    laid = dealt.withColumn("end", until).withColumn("begin", F.col("end") - F.col("size")).join(planned, ["key", "shard"])
+    # runs of chosen blocks among those that a document has words in
+    chosen = lambda k: F.pmod(k * F.col("a") + F.col("b"), F.col("blocks")) < F.col("more")
+    first, last = F.floor(F.col("begin") / block), F.floor((F.col("end") - 1) / block)
+    met = F.filter(F.when(F.col("size") > 0, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>")), chosen)
+    starts, ends = F.filter("met", lambda k: (k == first) | ~chosen(k - 1)), F.filter("met", lambda k: (k == last) | ~chosen(k + 1))
+    inside = lambda k: F.least(F.greatest(k * block, F.col("begin")), F.col("end")) - F.col("begin")
+    extra = F.zip_with(starts, ends, lambda x, y: F.struct(inside(x).alias("from"), inside(y + 1).alias("to")))
+    out = laid.withColumn("met", met).withColumn("extra", extra)
+    zero = F.lit(0).cast("long")
     taken = F.col("rounds") * F.col("size") + F.aggregate("extra", zero, lambda t, s: t + s["to"] - s["from"])
-    return out.select("doc_id", "source", "size", "source_size", "target", F.col("rounds").cast("int").alias("copies"), "extra", taken.alias("taken"))
+    return out.select("doc_id", "source", "size", "hash", "source_size", "target", F.col("rounds").cast("int").alias("copies"), "extra", taken.alias("taken"))
 
 
 _WORDS = re.compile(WORD)
@@ -139,36 +172,36 @@ def cut(text: str, a: int, b: int) -> str:
     return text[begin:end]
 
 
+def _cut(text: Column, span: Column) -> Column:
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, spans in batches:
+            yield pa.array([None if t is None else cut(t, s["from"], s["to"]) for t, s in zip(texts.to_pylist(), spans.to_pylist(), strict=True)], pa.string())
+
+    run = tidy(run)
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "string")(text, span)
+
+
 def take(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix, columns as they were: a row for each whole copy, and one for each extra span, with
-    ``text`` cut to it (and ``n_chars``, where there is one, set to its length). Documents taken 0 times go; those
-    without words, of which the mix can't take any, go too."""
+    """The documents of the mix, columns and their values as they were: a row for each whole copy, and one for each extra
+    span, with ``text`` cut to it (and ``n_chars``, where there is one, set to its length). Documents taken 0 times go;
+    those without words, of which the mix can't take any, go too."""
     small_batches(docs.sparkSession)
-    plan = materialise(mix(docs, **options).where("taken > 0").select(F.col("doc_id").alias("_id"), F.xxhash64("source").alias("_source"), F.col("size").alias("_size"), "copies", "extra").withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("copies", F.size("extra")))), "mix")
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_source", F.xxhash64("source")).withColumn("_size", size)
-    if plan.where("_nth > 1").isEmpty():
-        plan, on = plan.drop("_nth"), ["_id", "_source", "_size"]
-    else:  # rows alike in id, source and size are matched by number
-        rows, on = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("text"))), ["_id", "_source", "_size", "_nth"]
+    on = ["id", "source", "size", "hash"]
+    plan = mix(docs, **options).where("taken > 0").select(F.col("doc_id").alias("id"), "source", "size", "hash", "copies", "extra")
+    plan = materialise(plan.withColumn("nth", F.row_number().over(Window.partitionBy(*on).orderBy("copies", F.size("extra"), "extra"))), "mix")
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").cast("long").alias("id"), "source", _words("text").alias("size"), _hash("text").alias("hash"))
+    if plan.where("nth > 1").isEmpty():
+        plan = plan.drop("nth")
+    else:  # rows alike in all of these are matched by number
+        rows, on = rows.withColumn("nth", F.row_number().over(Window.partitionBy(*on).orderBy("size"))), [*on, "nth"]
     met = rows.alias("d").join(plan.alias("p"), [F.col(f"d.{c}").eqNullSafe(F.col(f"p.{c}")) for c in on])
-    whole = F.transform(F.sequence(F.lit(1), F.col("copies")), lambda _: F.struct(F.lit(0).cast("long").alias("from"), F.lit(-1).cast("long").alias("to")))
+    whole = F.transform(F.sequence(F.lit(1), F.col("copies")), lambda _: F.struct(F.lit(0).cast("long").alias("from"), F.col("d.size").alias("to")))
     spans = F.concat(F.when(F.col("copies") > 0, whole).otherwise(F.array().cast("array<struct<from:bigint,to:bigint>>")), "extra")
-    met = met.select(*[F.col(f"d.{c}").alias(c) for c in docs.columns], F.col("d._size").alias("_size"), F.explode(spans).alias("_span"))
-    fields = docs.columns
-    text_at, chars_at = fields.index("text"), fields.index("n_chars") if "n_chars" in fields else None
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            span, size, text = batch.column(len(fields) + 1).to_pylist(), batch.column(len(fields)).to_pylist(), batch.column(text_at)
-            part = [s["to"] >= 0 and (s["from"], s["to"]) != (0, n) for s, n in zip(span, size, strict=True)]
-            columns = list(batch.columns[: len(fields)])
-            if any(part):
-                new = [cut(t.as_py(), s["from"], s["to"]) if p else t.as_py() for t, s, p in zip(text, span, part, strict=True)]
-                columns[text_at] = pa.array(new, text.type)
-                if chars_at is not None:
-                    old = columns[chars_at]
-                    columns[chars_at] = pa.array([len(t) if p else c.as_py() for t, p, c in zip(new, part, old, strict=True)], old.type)
-            yield pa.RecordBatch.from_arrays(columns, names=fields)
-
-    return met.mapInArrow(run, docs.schema)
+    met = met.select("doc", F.col("d.size").alias("size"), F.explode(spans).alias("span"))
+    part = (F.col("span.from") > 0) | (F.col("span.to") < F.col("size"))
+    met = met.withColumn("part", part).withColumn("new", _cut(F.when(F.col("part"), F.col("doc.text")), F.col("span")))
+    put = {"text": F.when(F.col("part"), F.col("new")).otherwise(F.col("doc.text"))}
+    if "n_chars" in docs.columns:
+        put["n_chars"] = F.when(F.col("part"), F.length("new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("doc.n_chars"))
+    return met.select(*[put.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])

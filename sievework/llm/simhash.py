@@ -14,6 +14,7 @@ component. Empty tables give empty results. Columns other than id and text are i
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -22,9 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm._runtime import connected_components, local_roots, materialise, small_batches
+from sievework.llm._runtime import connected_components, join_about, local_roots, materialise, small_batches, tidy
 
 SEED = 42
+#: Bytes of a text whose words are in memory at once, and what divides words.
+PART, _BLANK = 1 << 20, re.compile(rb"[\x20\x09-\x0D]")
 #: Rows of a bucket that one task compares with others; fuller buckets are cut into a grid of blocks.
 BLOCK = 4096
 #: Ids up to which a list of them is broadcast (some 50 MB).
@@ -33,51 +36,61 @@ BROADCAST_IDS = 2_000_000
 ROW_COST, PAIR_COST = 1000.0, 2.0
 
 
-def shingle_hashes(text: str, size: int, wide: bool = False) -> np.ndarray:
-    """XXH64 of each word shingle (uint64, shape n x 1), or XXH3-128 (n x 2) if ``wide``."""
+def word_parts(text: str, size: int) -> Iterator[list[bytes]]:
+    """A text's words in parts of a megabyte of text, each begun by the ``size - 1`` words before it; ASCII letters in
+    lower case."""
+    raw, at, before = text.encode("utf-8", "surrogatepass").lower(), 0, []
+    while at < len(raw):
+        end = at + PART
+        if end < len(raw):  # to the next white space
+            found = _BLANK.search(raw, end)
+            end = found.start() if found else len(raw)
+        new = raw[at:end].split()
+        if new:
+            yield before + new
+            before = (before + new)[-(size - 1) :] if size > 1 else []
+        at = end
+
+
+def shingle_hashes(text: str, size: int) -> np.ndarray:
+    """XXH64 of each word shingle (uint64), or of the whole sequence of fewer words."""
     import xxhash
 
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros((0, 2 if wide else 1), np.uint64)
-    joined, size = b" ".join(words), min(size, len(words))
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])[: len(words) - size + 1].tolist()
-    ends = ends[size - 1 :].tolist()
-    if wide:
-        digest = xxhash.xxh3_128_digest
-        return np.frombuffer(b"".join([digest(joined[i:j], SEED) for i, j in zip(starts, ends, strict=True)]), np.uint64).reshape(-1, 2)
-    hashed = xxhash.xxh64_intdigest
-    return np.fromiter((hashed(joined[i:j], SEED) for i, j in zip(starts, ends, strict=True)), np.uint64, len(starts)).reshape(-1, 1)
-
-
-def fingerprint(hashes: np.ndarray) -> np.ndarray:
-    """Majority of each bit over the rows; ties and no rows give zero."""
-    n, width = hashes.shape
-    counts = np.zeros(64 * width, np.int64)
-    for at in range(0, n, 1 << 16):
-        counts += np.unpackbits(np.ascontiguousarray(hashes[at : at + (1 << 16)]).view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return np.packbits(2 * counts > n, bitorder="little").view(np.uint64)
-
-
-def fingerprints(docs: DataFrame, shingle: int = 3, wide: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp, fp2)``. Where ``wide``, fp2 holds 64 further bits, and each distinct shingle counts once, as in a
-    Jaccard similarity; else fp2 is 0 and shingles count as often as they stand."""
+    hashed, out, held = xxhash.xxh64_intdigest, [np.zeros(0, np.uint64)], 0
+    for words in word_parts(text, size):
+        k = min(size, len(words))
+        if k < size:  # the text's only part, or a first one of few words
+            held = words
+            continue
+        held = None
+        joined = b" ".join(words)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        starts = np.concatenate([[0], ends[:-1] + 1])[: len(words) - k + 1].tolist()
+        ends = ends[k - 1 :].tolist()
+        out.append(np.fromiter((hashed(joined[i:j], SEED) for i, j in zip(starts, ends, strict=True)), np.uint64, len(starts)))
+    if held:
+        return np.array([hashed(b" ".join(held), SEED)], np.uint64)
+    return np.concatenate(out)
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    """Bits that more than half of the hashes have; ties and no hashes give zero."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 14):
+        counts += np.unpackbits(np.ascontiguousarray(hashes[at : at + (1 << 14)]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, fp)``; shingles count as often as they stand."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = np.zeros((batch.num_rows, 2), np.uint64)
-            for i, text in enumerate(batch.column(1)):
-                hashes = shingle_hashes(text.as_py() or "", shingle, wide)
-                if wide:
-                    hashes = hashes[np.unique(hashes[:, 0], return_index=True)[1]]
-                got = fingerprint(hashes)
-                out[i, : len(got)] = got
-            signed = out.view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed[:, 0]), pa.array(signed[:, 1])], names=["doc_id", "fp", "fp2"])
+            out = np.fromiter((fingerprint(shingle_hashes(t.as_py() or "", shingle)) for t in batch.column(1)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], names=["doc_id", "fp"])
 
     small_batches(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long, fp2 long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), "doc_id long, fp long")
 
 
 def bit_statistics(classes: DataFrame) -> tuple[int, np.ndarray]:
@@ -169,7 +182,7 @@ def _codes(fp: np.ndarray, bits: list[int]) -> np.ndarray:
 
 
 def _rows(classes: DataFrame, parts: list[tuple[list[int], int]], probes: bool) -> DataFrame:
-    """``(key, node, fp, fp2)``: index rows, or the probe rows of the other codes within the thresholds. A key is a code,
+    """``(key, node, fp)``: index rows, or the probe rows of the other codes within the thresholds. A key is a code,
     its part, and a last bit that is 1 in probe rows.
 
     Of two codes that differ, only the smaller probes the larger: each pair of codes meets once.
@@ -178,7 +191,7 @@ def _rows(classes: DataFrame, parts: list[tuple[list[int], int]], probes: bool)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, fp, fp2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            node, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
             for k, (bits, _) in enumerate(parts):
                 code = _codes(fp.view(np.uint64), bits)
                 step = max(1, 200_000 // max(1, len(masks[k]) if probes else 1))
@@ -191,17 +204,17 @@ def _rows(classes: DataFrame, parts: list[tuple[list[int], int]], probes: bool)
                     else:
                         row, key = np.arange(len(own)), own
                     key = (key << np.uint64(5)) | np.uint64(2 * k + probes)
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *(pa.array(x[at : at + step][row]) for x in (node, fp, fp2))], names=["key", "node", "fp", "fp2"])
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *(pa.array(x[at : at + step][row]) for x in (node, fp))], names=["key", "node", "fp"])
 
-    return classes.select("node", "fp", "fp2").mapInArrow(run, "key long, node long, fp long, fp2 long")
+    return classes.select("node", "fp").mapInArrow(tidy(run), "key long, node long, fp long")
 
 
-def _compare(radius: int, wide_radius: int | None):
+def _compare(radius: int):
     """Links of a bucket's index rows with one another and with its probe rows, as a spanning forest. Input sorted by
-    (cell, key), so that a bucket's index rows come first; rows (key, cell, node, fp, fp2)."""
+    (cell, key), so that a bucket's index rows come first; rows (key, cell, node, fp)."""
 
     def pairs(x: np.ndarray) -> np.ndarray:
-        key, node, fp, fp2 = x[:, 0], x[:, 2], x[:, 3].view(np.uint64), x[:, 4].view(np.uint64)
+        key, node, fp = x[:, 0], x[:, 2], np.ascontiguousarray(x[:, 3]).view(np.uint64)
         bucket = np.stack([key >> 1, x[:, 1] >> 1], 1)
         new = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]).any(1)]))
         run = np.zeros(len(key), np.int64)
@@ -219,15 +232,11 @@ def _compare(radius: int, wide_radius: int | None):
         label = at[back]  # rows of one node are one vertex
         done, upto = 0, np.cumsum(count)
         while done < len(rows):
-            end = max(done + 1, int(np.searchsorted(upto, (upto[done - 1] if done else 0) + 500_000, "right")))
+            end = max(done + 1, int(np.searchsorted(upto, (upto[done - 1] if done else 0) + 200_000, "right")))
             c = count[done:end]
             a = np.repeat(rows[done:end], c)
             b = np.repeat(first[done:end], c) + np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
-            d = np.bitwise_count(fp[a] ^ fp[b])
-            ok = d <= radius
-            if wide_radius is not None:
-                a, b, d = a[ok], b[ok], d[ok]
-                ok = d.astype(np.int64) + np.bitwise_count(fp2[a] ^ fp2[b]) <= wide_radius
+            ok = np.bitwise_count(fp[a] ^ fp[b]) <= radius
             label = local_roots(len(key), a[ok], b[ok], label)
             done = end
         out = np.flatnonzero(node[label] != node)
@@ -243,7 +252,7 @@ def _compare(radius: int, wide_radius: int | None):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)], 1))
+            held.append(np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)], 1))
             size += batch.num_rows
             first, last = held[0][0], held[-1][-1]
             if size < 50_000 or (first[0] >> 1 == last[0] >> 1 and first[1] >> 1 == last[1] >> 1):
@@ -258,9 +267,9 @@ def _compare(radius: int, wide_radius: int | None):
     return run
 
 
-def links(classes: DataFrame, radius: int, wide_radius: int | None = None, block: int = BLOCK) -> DataFrame:
-    """Edges ``(a, b)`` between nodes of ``classes(node, fp, fp2)`` that join what lies within ``radius``; a spanning
-    forest of each bucket's links, never all its pairs.
+def links(classes: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
+    """Edges ``(a, b)`` between nodes of ``classes(node, fp)`` that join what lies within ``radius``; a spanning forest of
+    each bucket's links, never all its pairs.
 
     A bucket of more than ``block`` index rows is cut into blocks. Blocks i <= j of its index rows meet in a cell, the
     rows of j as probe rows if they differ; a probe row meets every block.
@@ -272,7 +281,7 @@ def links(classes: DataFrame, radius: int, wide_radius: int | None = None, block
     parts = plan(n, both, radius)
     index, probes = _rows(classes, parts, False), _rows(classes, parts, True)
     full = materialise(index.groupBy("key").count().where(F.col("count") > block).select(F.shiftright("key", 1).alias("bucket"), F.ceil(F.col("count") / block).cast("int").alias("blocks")), "full")
-    rest = ["node", "fp", "fp2"]
+    rest = ["node", "fp"]
     rows = index.unionByName(probes)
     if full.isEmpty():
         rows = rows.select("key", F.lit(0).cast("long").alias("cell"), *rest)
@@ -287,62 +296,21 @@ def links(classes: DataFrame, radius: int, wide_radius: int | None = None, block
         spread = met.withColumn("own", own).withColumn("c", F.explode(F.when(probe, as_probe).otherwise(as_index)))
         rows = spread.select((F.col("bucket") * 2 + F.col("c.probe")).alias("key"), F.col("c.cell").alias("cell"), *rest)
     dealt = rows.repartition(F.shiftright("key", 1), F.col("cell")).sortWithinPartitions("cell", "key")
-    return dealt.mapInArrow(_compare(radius, wide_radius), "a long, b long")
+    return dealt.mapInArrow(tidy(_compare(radius)), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 12, wide_radius: int | None = 22, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp, fp2, component_id)`` for each row: the smallest id that links reach.
-
-    With ``wide_radius`` fingerprints have 128 bits: the first 64 find candidates within ``radius``, and all 128 must
-    differ in at most ``wide_radius``. A pair's expected share of differing bits is its shingle vectors' angle over
-    pi, so a Jaccard similarity of 0.8 (a cosine of 0.89) gives 19 of 128
-    on average, and 22 leave room for its spread. Equal fingerprints are one vertex
-    from the start, so a group of exact copies costs one row.
-    """
-    prints = materialise(fingerprints(docs, shingle, wide_radius is not None, id_col, text_col), "prints")
-    classes = materialise(prints.where("doc_id IS NOT NULL").groupBy("fp", "fp2").agg(F.min("doc_id").alias("node")), "classes")
-    found = connected_components(links(classes, radius, wide_radius).unionByName(_same_id(prints, classes)))
-    classes = classes.join(found, "node", "left").select("fp", "fp2", F.coalesce("component", "node").alias("component_id"))
-    out = prints.join(classes, ["fp", "fp2"], "left")
-    return out.select("doc_id", "fp", "fp2", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, fp, component_id)`` for each row: the smallest id that links reach. Equal fingerprints are one vertex
+    from the start, so a group of exact copies costs one row."""
+    prints = materialise(fingerprints(docs, shingle, id_col, text_col), "prints")
+    classes = materialise(prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("node")), "classes")
+    found = connected_components(links(classes, radius).unionByName(_same_id(prints, classes)))
+    placed = materialise(classes.join(found, "node", "left").select("fp", "node", F.coalesce("component", "node").alias("component_id")), "placed")
+    out = join_about(prints, placed.select("fp", "component_id"), "fp")
+    return out.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
 def _same_id(prints: DataFrame, classes: DataFrame) -> DataFrame:
     """Edges between the classes of an id that more than one row has."""
     twice = prints.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    return prints.join(twice, "doc_id").join(classes, ["fp", "fp2"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-
-
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without all but one row of each group of texts whose shingle sets are similar: that with the smallest id."""
-    from sievework.llm import shingle_join
-
-    found = materialise(shingle_join.near_duplicates(docs, **options), "components")
-    gone = materialise(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    # ids alone are sent to the documents where their number is known to be small; else both sides are shuffled
-    kept = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti")
-    twice = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if twice.isEmpty():
-        return kept
-    # an id that more than one row has: one of them stays
-    again = kept.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("r")).select("doc_id", "r.*").select(*docs.columns)
-    return kept.join(twice, "doc_id", "left_anti").unionByName(again)
-
-
-def keep_one_text(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one row of each group of similar texts, decided by row: texts of one id stay apart, where
-    :func:`keep_one` takes an id for one document. Rows with a null id stay."""
-    from sievework.llm import shingle_join
-
-    found = materialise(shingle_join.kept_texts(docs, shingle, similarity), "kept")
-    per_id = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_or("kept").alias("kept"))
-    aside = materialise(per_id.where("n > 1 OR NOT kept").select("doc_id", "n"), "aside")
-    ids = aside.select("doc_id")
-    kept = docs.join(F.broadcast(ids) if aside.count() <= BROADCAST_IDS else ids, "doc_id", "left_anti").select(*docs.columns)
-    twice = aside.where("n > 1").select("doc_id")
-    if twice.isEmpty():
-        return kept
-    rest = [c for c in docs.columns if c != "doc_id"]
-    again = docs.join(twice, "doc_id", "left_semi").select("doc_id", F.struct(*rest).alias("r"), shingle_join.digests(F.col("text"), shingle).alias("d"))
-    again = again.select("doc_id", "r", F.col("d.h1").alias("h1"), F.col("d.h2").alias("h2")).join(found.where("kept").select("doc_id", "h1", "h2").distinct(), ["doc_id", "h1", "h2"], "left_semi")
-    return kept.unionByName(again.groupBy("doc_id", "h1", "h2").agg(F.min("r").alias("r")).select("doc_id", "r.*").select(*docs.columns))
+    return prints.join(twice, "doc_id").distinct().join(classes, "fp").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))

@@ -8,11 +8,13 @@ trained. Scores are shifted so that the threshold best on calibration rows stand
 calibration rows also has a threshold of its own, which ``toxic`` uses. Only words enter a score.
 
 Bounds: fitted on at most ``max_rows`` labelled rows, half of each class where there are enough, in the order of a hash
-of their ids, whose texts have at most ``max_chars`` characters. Every whole text is scored.
+of their ids, whose texts have at most ``max_chars`` characters and ``max_total`` together. Every whole text is scored.
 
 Edge cases: null text is empty and scores like a text without words. Labelled rows whose id or label is null are not
-used; an id with several labels has the largest. Without a row of each class the model knows nothing and scores 0.
-Rows are scored each, repeated or not. Columns other than those named are ignored.
+used; an id with several labels has the largest, one with several texts the smallest of them. Without a row of each
+class the model knows nothing and scores 0. Rows are scored each, repeated or not. Only ``doc_id``, ``text`` and
+``lang`` (null where there is none) are read; :func:`score` replaces columns named ``score`` and ``toxic``, and
+:func:`reject_toxic` keeps all columns and their values.
 """
 
 from __future__ import annotations
@@ -25,11 +27,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sievework.llm._encoder import Numbered
-from sievework.llm._runtime import small_batches
+from sievework.llm._runtime import small_batches, tidy
 
 WIDTHS, FILTERS, DIM, BUCKETS = (1, 2, 3), 8, 8, 1 << 18
 TAPS = sum(WIDTHS) * FILTERS
@@ -232,11 +234,11 @@ def held_out(column: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(column).cast("string")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_chars: int = 50_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_chars: int = 50_000, max_total: int = 60_000_000) -> Model:
     """A model of ``labels(doc_id, toxic)``, learnt from rows that are not held out.
 
     The sample's ids are chosen first, by label and hash; at most ``max_rows`` of them are sent to the executors, and
-    documents are read once, unshuffled.
+    documents are read once. Of an id's rows one is kept before anything is gathered.
     """
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IN (0, 1)")
     labels = labels.where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -245,43 +247,53 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_chars: i
     positive = take(1, max_rows // 2)
     chosen = [(r.doc_id, r.toxic) for r in positive + take(0, max_rows - len(positive))]
     chosen = docs.sparkSession.createDataFrame(chosen, "doc_id long, toxic int")
-    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(F.length(F.coalesce("text", F.lit(""))) <= max_chars)
-    rows = wanted.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "lang", "toxic").collect()
-    rows = sorted({r.doc_id: r for r in sorted(rows, key=lambda r: (r.text or "", r.lang or ""))}.values(), key=lambda r: r.doc_id)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(text.alias("text"), _lang(docs).alias("lang")).alias("row")).where(F.length("row.text") <= max_chars)
+    one = wanted.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("row").alias("row"), F.first("toxic").alias("toxic"))
+    upto = F.sum(F.length("row.text")).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # of max_rows rows at most
+    rows = one.withColumn("upto", upto).where(F.col("upto") <= max_total).select("doc_id", "row.text", "row.lang", "toxic").collect()
+    rows = sorted(rows, key=lambda r: r.doc_id)
     apart = np.array([zlib.crc32(f"calibration {r.doc_id}".encode()) % 4 == 0 for r in rows], bool)
     toxic = np.array([r.toxic for r in rows], int)
     share = [there.get(k, 0) / max(1, int((toxic == k).sum())) for k in (0, 1)]
-    return fit([r.text or "" for r in rows], toxic, [r.lang for r in rows], apart, np.where(toxic == 1, share[1], share[0]))
+    return fit([r.text for r in rows], toxic, [r.lang for r in rows], apart, np.where(toxic == 1, share[1], share[0]))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score`` and ``toxic`` (0 or 1, by the threshold of the row's language, 0.7 where it has none)."""
-    if clash := {"score", "toxic", "_logit"} & {c.lower() for c in docs.columns}:
-        docs = docs.drop(*clash)
-    small_batches(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # 8 MB at any corpus size
-    kept: dict[str, Scorer] = {}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if "scorer" not in kept:
-            kept["scorer"] = Scorer(sent.value)
+def _lang(docs: DataFrame) -> Column:
+    return F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+
+
+def probability(spark: SparkSession, model: Model, text: Column) -> Column:
+    """Score of a text; only texts go to the Python workers, only scores come back."""
+    small_batches(spark)
+    sent = spark.sparkContext.broadcast(model)  # 8 MB at any corpus size
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = Scorer(sent.value)
         for batch in batches:
-            text = batch.column(batch.schema.get_field_index("text"))
-            z = []
-            for at in range(0, batch.num_rows, 64):
-                z.append(kept["scorer"].logits([x.as_py() for x in text.slice(at, 64)]))
-            p = sigmoid(np.concatenate(z)) if z and sent.value.known else np.zeros(batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p.astype(np.float64))], names=[*batch.schema.names, "score"])
+            z = [scorer.logits([x.as_py() for x in batch.slice(at, 64)]) for at in range(0, len(batch), 64)]
+            yield pa.array(sigmoid(np.concatenate(z)).astype(np.float64) if z else np.zeros(0))
 
-    limit = F.lit(REJECT)
-    for lang, t in model.thresholds.items():
-        limit = F.when(F.col("lang") == lang, F.lit(t)).otherwise(limit)
-    from pyspark.sql.types import DoubleType, StructField, StructType
+    run = tidy(run)
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "double")(text) if model.known else F.lit(0.0)
 
-    out = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
-    return out.withColumn("toxic", (F.col("score") >= limit).cast("int"))
+
+def limit(model: Model, lang: Column) -> Column:
+    """The threshold of a row's language, 0.7 where it has none."""
+    out = F.lit(REJECT)
+    for name, t in model.thresholds.items():
+        out = F.when(lang == name, F.lit(t)).otherwise(out)
+    return out
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with ``score`` and ``toxic`` (0 or 1, by the threshold of the row's language)."""
+    out = docs.withColumn("score", probability(docs.sparkSession, model, F.col("text")))
+    return out.withColumn("toxic", (F.col("score") >= limit(model, _lang(docs))).cast("int"))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows that are toxic by their language's threshold; columns as they were."""
-    return score(docs, train(docs, labels, **options)).where("toxic = 0").select(*docs.columns)
+    """``docs`` without the rows that are toxic by their language's threshold; columns and values as they were."""
+    model = train(docs, labels, **options)
+    return docs.where(probability(docs.sparkSession, model, F.col("text")) < limit(model, _lang(docs)))

@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from sievework.llm import embed_dedup, simhash, topk
+from sievework.llm import embed_dedup, shingle_join, simhash, topk
 
 
 def roots(ids, linked):
@@ -47,7 +47,7 @@ def documents():
 def test_simhash_equals_brute_force(spark, radius):
     rows = documents()
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("fp", F.lit("clash")).withColumn("component_id", F.lit(1))
-    got = {r.doc_id: r for r in simhash.near_duplicates(df, 3, radius, None).collect()}
+    got = {r.doc_id: r for r in simhash.near_duplicates(df, 3, radius).collect()}
     prints = {i: plain_fingerprint(t, 3) for i, t in rows}
     assert {i: r.fp % 2**64 for i, r in got.items()} == prints
     assert {i: r.component_id for i, r in got.items()} == roots(list(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= radius)
@@ -62,11 +62,11 @@ def test_simhash_cuts_full_buckets(spark):
         for _ in range(rng.randint(0, 4)):
             x ^= 1 << rng.randrange(64)
         prints[i] = x
-    signed = [(i, x - (1 << 64) if x >> 63 else x, 0) for i, x in prints.items()]
-    classes = spark.createDataFrame(signed, "node long, fp long, fp2 long")
+    signed = [(i, x - (1 << 64) if x >> 63 else x) for i, x in prints.items()]
+    classes = spark.createDataFrame(signed, "node long, fp long")
     want = roots(list(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
     for block in (4096, 5):
-        edges = simhash.links(classes, 3, None, block).collect()
+        edges = simhash.links(classes, 3, block).collect()
         assert roots(list(prints), lambda a, b, e={(r.a, r.b) for r in edges} | {(r.b, r.a) for r in edges}: (a, b) in e) == want
         assert len(edges) < 12 * len(prints)
 
@@ -89,12 +89,9 @@ def test_simhash_plan_keeps_the_pigeonhole_sum():
 def test_simhash_ids_that_repeat_or_lack(spark):
     rows = [(1, "a b c d e f g h"), (1, "x y z u v w"), (2, "x y z u v w"), (None, "a b c d e f g h"), (7, "a b c d e f g h"), (7, "a b c d e f g h")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted((r.doc_id or 0, r.component_id or 0) for r in simhash.near_duplicates(df, 3, 3, None).collect())
+    got = sorted((r.doc_id or 0, r.component_id or 0) for r in simhash.near_duplicates(df, 3, 3).collect())
     assert got == [(0, 0), (1, 1), (1, 1), (2, 1), (7, 1), (7, 1)]
-    assert simhash.near_duplicates(df.limit(0), 3, 3, None).count() == 0
-    assert simhash.keep_one(df.limit(0)).count() == 0
-    kept = simhash.keep_one(df)
-    assert kept.columns == df.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1]
+    assert simhash.near_duplicates(df.limit(0), 3, 3).count() == 0
 
 
 def test_keep_one_finds_similar_documents(spark):
@@ -110,7 +107,7 @@ def test_keep_one_finds_similar_documents(spark):
                 other[rng.randrange(400)] = "new"
             rows.append((10 * i + k + 1, " ".join(other)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = {r.doc_id for r in simhash.keep_one(df).collect()}
+    kept = {r.doc_id for r in shingle_join.keep_one(df).collect()}
     assert {10 * i for i in range(40)} <= kept and len(kept) <= 44
 
 
