@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions import text as T
 from sievework.operators.models import infer
+from sievework.operators.segments import fold
 
 
 def translatable(line: Column) -> Column:
@@ -83,12 +84,11 @@ def faith_threshold(df: DataFrame, score_field: str = "faith_avg", failed_field:
 def merge_scores(df: DataFrame, scores: list[str], metadata: str = "translation_metadata") -> DataFrame:
     """Scores put into a JSON column under ``faith_scores``."""
 
-    def run(raw, values):
-        out = json.loads(raw) if raw else {}
-        return json.dumps(out | {"faith_scores": values.asDict()}, ensure_ascii=False)
+    def run(values, raw):
+        return json.dumps((json.loads(raw) if raw else {}) | {"faith_scores": values}, ensure_ascii=False)
 
     old = F.col(metadata) if metadata in df.columns else F.lit(None).cast("string")
-    return df.withColumn(metadata, F.udf(run, "string", useArrow=False)(old, F.struct(*scores)))
+    return df.withColumn(metadata, fold(run, "string")(F.struct(*scores), old))
 
 
 def format_output(df: DataFrame, target_lang: str, mode: str = "replaced", text_field: str = "text", out: str = "translated_text", metadata: str = "translation_metadata") -> DataFrame:

@@ -1,5 +1,6 @@
 """Interleaved rows, segments, model adapters, translation."""
 
+import random
 import struct
 
 import pytest
@@ -33,27 +34,88 @@ def seg(a, b, **more):
 
 
 def test_segments():
-    s = [seg(0, 10), seg(9.8, 12), seg(2, 3), seg(20, 21), seg(20, 21), seg(30, 31)]
-    assert S.overlapping(s) == {0, 2, 3, 4}
     cuts = S.snippets([seg(0, 5, text="a"), seg(6, 10, text="b"), seg(50, 60, text="c"), seg(61, 61.2, text=""), seg(700, 1400, text="d")], 100, 0.5, 30)
     assert [(c["start"], c["end"], len(c["segments"])) for c in cuts] == [(0, 10, 2), (50, 61.2, 2)]
-    assert S.thin_windows([(0, 100), (50, 170), (300, 400)], 0.3) == [(50, 170), (300, 400)]
-    words = [seg(0, 1, word="a"), seg(1, 3.5, word="b"), seg(5, 6, word="gap"), seg(8, 9, word="c")]
-    got = S.align_words(words, [seg(0, 2), seg(2, 4), seg(7, 10)])
-    assert [g["text"] for g in got] == ["a", "b", "c"]
     assert S.word_error_rate("a b c d", "a x c") == 50.0 and S.edits([], [1, 2]) == 2
     assert S.repeated_ngram("a b a b a b".split(), 2, 2) and not S.repeated_ngram("a b a b".split(), 2, 2)
     assert S.events([0, 0.9, 0.9, 0.4, 0.9, 0], 10, 0.5, 0.1, low=0.3) == [{"start": 0.1, "end": 0.5, "confidence": pytest.approx(0.775)}]
     m = S.module_segments([seg(i, i + 0.9, word="w." if i == 5 else "w") for i in range(12)], 5, 20, 2)
     assert [(x["start"], x["end"]) for x in m] == [(0, 5.9), (6, 11.9)]
+
+
+def plain_windows(segments, target, tolerance, bandwidth, speakers):
+    """Windows by their definition, one segment after the other."""
+    low, high, out = target * (1 - tolerance), target * (1 + tolerance), []
+    for k, head in enumerate(segments):
+        chosen = []
+        for s in segments[k:]:
+            limit = head["start"] + high
+            heard = {c["speaker"] for c in [*chosen, s] if c["speaker"]}
+            if s["metrics"]["bandwidth"] < bandwidth or s["start"] >= limit or len(heard) > speakers[1] or "no-speaker" in heard:
+                break
+            if s["end"] > limit:
+                words = [w for w in s["words"] if w["end"] <= limit]
+                chosen.append(s | {"end": words[-1]["end"] if words else s["start"], "text": " ".join(w["word"] for w in words)})
+                break
+            chosen.append(s)
+        heard = {c["speaker"] for c in chosen if c["speaker"]}
+        if len(chosen) > 1 and low <= chosen[-1]["end"] - head["start"] <= high and speakers[0] <= len(heard) <= speakers[1]:
+            out.append([(c["start"], c["end"], c["text"]) for c in chosen])
+    return out
+
+
+def test_windows(spark):
+    rng, kind = random.Random(5), "array<struct<start:double,end:double,text:string,speaker:string,metrics:struct<bandwidth:int>,words:array<struct<start:double,end:double,word:string>>>>"
+    rows = []
+    for name in range(12):
+        at, segments = 0.0, []
+        for _ in range(40):
+            end = at + rng.uniform(1, 30)
+            words = [seg(at + (end - at) * i / 5, at + (end - at) * (i + 1) / 5, word=f"w{i}") for i in range(5)]
+            speaker = rng.choice(["a", "b", "c", None, "", "no-speaker" if name % 4 == 0 else "d"])
+            segments.append(seg(at, end, text="t", speaker=speaker, metrics={"bandwidth": rng.choice([9000] * 12 + [100])}, words=words))
+            at = end + rng.uniform(-0.5, 2)
+        rows.append((name, 16000, segments))
+    df = spark.createDataFrame([*rows, (100, 8000, rows[0][2]), (101, 16000, None), (102, 16000, [])], f"id int, audio_sample_rate int, segments {kind}")
+    built = {r.id: r.windows for r in S.build_windows(df, speakers=(2, 3)).collect()}
+    for name, _, segments in rows:
+        assert [[(s.start, s.end, s.text) for s in w.segments] for w in built[name]] == plain_windows(segments, 120.0, 0.1, 8000, (2, 3))
+    assert any(built[n] for n in range(12)) and built[100] == [] and built[101] is None and built[102] == []
     head = [seg(40 * i, 40 * i + 38, speaker="ab"[i % 2], metrics={"bandwidth": 9000}, text="x", words=[]) for i in range(4)]
-    [w] = S.windows(head, 120, 0.1)[:1]
-    assert len(w["segments"]) == 4 and w["speaker_durations"][:2] == [76.0, 38.0]
+    [w, _] = S.build_windows(spark.createDataFrame([(1, 16000, head)], df.schema)).first().windows
+    assert len(w.segments) == 4 and w.speaker_durations[:2] == [76.0, 38.0]
+
+
+def test_windows_that_overlap(spark):
+    kind = "id int, windows array<struct<segments:array<struct<start:double,end:double>>>>"
+    cases = {
+        0: ([(0, 100), (50, 170), (300, 400)], [(50, 170), (300, 400)]),
+        1: ([(0, 110), (100, 225), (220, 340)], [(220, 340)]),  # each is dropped by a better one after it
+        2: ([(0, 120), (110, 225), (220, 345)], [(0, 120), (220, 345)]),  # what is gone drops none
+        3: ([(0, 120), (0, 120)], [(0, 120)]),
+        4: ([], []),
+    }
+    df = spark.createDataFrame([(k, [{"segments": [seg(a, b)]} for a, b in spans]) for k, (spans, _) in cases.items()] + [(9, None)], kind)
+    got = {r.id: r.windows and [(w.segments[0].start, w.segments[0].end) for w in r.windows] for r in S.filter_windows(df).collect()}
+    assert got == {k: want for k, (_, want) in cases.items()} | {9: None}
+    half = S.filter_windows(df.where("id = 0"), share=0.6).first().windows
+    assert len(half) == 3
+
+
+def test_alignment(spark):
+    words = [seg(0, 1, word="a"), seg(1, 3.5, word="b"), seg(5, 6, word="gap"), seg(8, 9, word="c"), seg(8.5, 8.5, word="z")]
+    kind = "id int, alignment array<struct<start:double,end:double,word:string>>, segments array<struct<start:double,end:double,speaker:string>>"
+    df = spark.createDataFrame([(1, words, [seg(7, 10, speaker="q"), seg(0, 2, speaker="p"), seg(2, 4, speaker="q")]), (2, None, [seg(0, 1, speaker="p")]), (3, words, None), (4, [], [])], kind)
+    rows = {r.id: r.segments for r in S.merge_alignment(df).collect()}
+    assert [(s.start, s.speaker, s.text, len(s.words)) for s in rows[1]] == [(0, "p", "a", 1), (2, "q", "b", 1), (7, "q", "c z", 2)]
+    assert [(s.text, s.words) for s in rows[2]] == [("", [])] and rows[3] is None and rows[4] == []
 
 
 def test_segment_frames(spark):
     df = spark.createDataFrame([(1, [seg(0, 10, text="a"), seg(1, 2, text="b"), seg(20, 30, text="c")]), (2, None), (3, [])], "id int, segments array<struct<start:double,end:double,text:string>>")
     assert {r.id: r.segments and len(r.segments) for r in S.drop_overlaps(df).collect()} == {1: 1, 2: None, 3: []}
+    many = spark.createDataFrame([(1, [seg(0, 10), seg(9.8, 12), seg(2, 3), seg(20, 21), seg(20, 21), seg(30, 31)])], "id int, segments array<struct<start:double,end:double>>")
+    assert [(s.start, s.end) for s in S.drop_overlaps(many).first().segments] == [(9.8, 12), (30, 31)]
     assert [tuple(r) for r in S.overlap_pairs(df, "id").collect()] == [(1, 0, 1)]
     assert [(r.id, r.snippet.start) for r in S.plan_snippets(S.drop_overlaps(df)).collect()] == [(1, 20.0)]
     talk = spark.createDataFrame([("a a a a a", 5.0, "en"), ("x" * 30, 5.0, "de"), ("Thank-you.", 5.0, "en"), ("", 1.0, "en"), ("fine words here", 0.1, "en"), (None, 1.0, None)], "pred_text string, duration double, language string")
