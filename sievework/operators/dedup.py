@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,14 +13,14 @@ from pyspark.sql import functions as F
 
 from sievework.functions import text as T
 from sievework.plans.graph import connected_components
+from sievework.plans.skew import join_about
 from sievework.plans.tables import materialise
 
 ID, SIGNATURE, BUCKET, GROUP = "_dedup_id", "_minhash_signature", "_bucket_id", "_duplicate_group_id"
 
 
 def exact_groups(df: DataFrame, id_field: str = "id", text_field: str = "text", normalise: bool = False) -> DataFrame:
-    """``(hash, keep, n)`` of each text: md5, the smallest id and the number of rows. Partially aggregated, so a text that
-    a third of all rows share costs no more than others."""
+    """``(hash, keep, n)`` of each text: md5, the smallest id and the number of rows, aggregated before the shuffle."""
     text = T.normalised(F.col(text_field)) if normalise else F.col(text_field)
     return df.select(F.col(id_field).alias("id"), F.md5(text).alias("hash")).where("hash IS NOT NULL").groupBy("hash").agg(F.min("id").alias("keep"), F.count("*").alias("n"))
 
@@ -31,7 +30,7 @@ def exact_duplicates(df: DataFrame, id_field: str = "id", text_field: str = "tex
     text = T.normalised(F.col(text_field)) if normalise else F.col(text_field)
     rows = df.select(F.col(id_field).alias("id"), F.md5(text).alias("hash"))
     many = exact_groups(df, id_field, text_field, normalise).where("n > 1").select("hash", "keep")
-    return rows.join(many, "hash").where("id <> keep").select("id").distinct()
+    return join_about(rows, many, "hash", "inner").where("id <> keep").select("id").distinct()
 
 
 def remove_ids(df: DataFrame, ids: DataFrame, id_field: str = "id", duplicate_id_field: str = "id", drop_id_field: bool = False) -> DataFrame:
@@ -41,28 +40,34 @@ def remove_ids(df: DataFrame, ids: DataFrame, id_field: str = "id", duplicate_id
     return out.drop(id_field) if drop_id_field else out
 
 
+def gram_hashes(text: str, n: int) -> np.ndarray:
+    """64-bit hashes of a text's distinct character n-grams, all at once: a polynomial in their code points, mixed. A
+    shorter text is one n-gram."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = min(n, max(1, len(points)))
+    h = np.zeros(max(1, len(points) - n + 1), np.uint64)
+    for k in range(min(n, len(points))):
+        h = h * _BASE + points[k : k + len(h)]
+    h = (h ^ (h >> np.uint64(31))) * _MIX
+    return np.unique(h ^ (h >> np.uint64(29)))
+
+
+_BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
 def minhash(df: DataFrame, id_field: str = "id", text_field: str = "text", char_ngrams: int = 24, num_hashes: int = 260, seed: int = 42, normalise: bool = False, use_64bit: bool = False) -> DataFrame:
-    """``(_dedup_id, _minhash_signature)``: least value of (a h + b) mod p over the hashes h of a text's character n-grams,
-    for each of ``num_hashes`` seeded (a, b); p is 2^31 - 1, or 2^61 - 1 for 64 bits. A shorter text is one n-gram."""
-    p = (1 << 61) - 1 if use_64bit else (1 << 31) - 1
+    """``(_dedup_id, _minhash_signature)``: for each of ``num_hashes`` seeded pairs (a, b), a odd, the least of
+    (a h + b) mod 2^64 over the hashes h of a text's character n-grams; its upper 32 bits, or all 64 (signed)."""
     rng = np.random.default_rng(seed)
-    a, b = rng.integers(1, p, num_hashes, dtype=np.int64), rng.integers(0, p, num_hashes, dtype=np.int64)
+    a, b = (rng.integers(0, 1 << 64, num_hashes, np.uint64) for _ in range(2))
+    a |= np.uint64(1)
     text = T.normalised(F.col(text_field)) if normalise else F.col(text_field)
 
     def signature(value: str) -> np.ndarray:
-        import xxhash
-
-        grams = {value[i : i + char_ngrams] for i in range(max(1, len(value) - char_ngrams + 1))}
-        h = np.fromiter((xxhash.xxh64_intdigest(g.encode("utf-8", "surrogatepass")) % p for g in grams), np.int64, len(grams))
-        out = np.full(num_hashes, p, np.int64)
-        for i in range(0, len(h), 2048):
-            part = h[i : i + 2048]
-            if use_64bit:  # products pass 64 bits: Python's integers
-                got = ((part.astype(object)[None] * a.astype(object)[:, None] + b.astype(object)[:, None]) % p).min(1).astype(np.int64)
-            else:
-                got = ((a[:, None].astype(np.uint64) * part[None].astype(np.uint64) + b[:, None].astype(np.uint64)) % np.uint64(p)).min(1).astype(np.int64)
-            out = np.minimum(out, got)
-        return out
+        h, out = gram_hashes(value, char_ngrams), np.full(num_hashes, ~np.uint64(0), np.uint64)
+        for i in range(0, len(h), 1024):  # a block of products at a time
+            np.minimum(out, (h[i : i + 1024, None] * a + b).min(0), out=out)
+        return out.view(np.int64) if use_64bit else (out >> np.uint64(32)).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,7 +105,7 @@ def star_edges(keys: DataFrame) -> DataFrame:
     """``(a, b)``: each id of a bucket and the bucket's smallest. The same components as chains, without gathering a
     bucket's ids in one row: minima are partially aggregated."""
     low = keys.groupBy(BUCKET).agg(F.min(ID).alias("b"), F.count("*").alias("n")).where("n > 1").select(BUCKET, "b")
-    return keys.join(low, BUCKET).select(F.col(ID).alias("a"), "b").where("a <> b").distinct()
+    return join_about(keys, low, BUCKET, "inner").select(F.col(ID).alias("a"), "b").where("a <> b").distinct()
 
 
 def components(edges: DataFrame, left: str = "id_x", right: str = "id_y") -> DataFrame:
@@ -112,7 +117,7 @@ def components(edges: DataFrame, left: str = "id_x", right: str = "id_y") -> Dat
 def group_duplicates(groups: DataFrame, id_field: str = ID, group_field: str = GROUP) -> DataFrame:
     """``(id)`` of all but the smallest id of each group."""
     low = groups.groupBy(group_field).agg(F.min(id_field).alias("_keep"))
-    return groups.join(low, group_field).where(F.col(id_field) != F.col("_keep")).select(F.col(id_field).alias("id")).distinct()
+    return join_about(groups, low, group_field, "inner").where(F.col(id_field) != F.col("_keep")).select(F.col(id_field).alias("id")).distinct()
 
 
 @dataclass(frozen=True)
@@ -202,32 +207,36 @@ def semantic_duplicates(df: DataFrame, n_clusters: int, eps: float, id_field: st
     return similar_ids(pairwise(cluster(df, n_clusters, id_field, embedding_field, **options), which_to_keep), eps)
 
 
-class IdRegistry:
-    """Contiguous id ranges for named batches of rows; a batch asked for again has its former range. Saved as JSON."""
+def id_ranges(df: DataFrame, file_field: str, order: list[str], known: DataFrame | None = None, start: int = 0) -> DataFrame:
+    """``(file, part, first, rows)``: where the ids of each file's rows begin, files in order of their names. Files that
+    ``known``, such a table, has keep their ranges; others come after them. Kept as a table, it gives the same ids again.
 
-    def __init__(self, start: int = 0, ranges: dict[str, tuple[int, int]] | None = None):
-        self.next, self.ranges = start, dict(ranges or {})
+    A file's rows are dealt to ID_PARTS parts by a hash of ``order``, columns that tell its rows apart, so none is
+    numbered in one task.
+    """
+    counted = df.groupBy(F.col(file_field).alias("file"), _id_part(order).alias("part")).agg(F.count("*").alias("rows"))
+    if known is None:
+        at = F.lit(start).cast("long")
+    else:
+        counted = counted.join(known, "file", "left_anti")
+        at = F.lit(max(start, known.agg(F.max(F.col("first") + F.col("rows"))).first()[0] or 0))
+    # a row for each part of a file: few enough for one task
+    upto = F.sum("rows").over(Window.orderBy("file", "part").rowsBetween(Window.unboundedPreceding, 0))
+    fresh = counted.select("file", "part", (at + upto - F.col("rows")).alias("first"), "rows")
+    return fresh if known is None else known.select("file", "part", "first", "rows").unionByName(fresh)
 
-    @staticmethod
-    def key(files: str | list[str]) -> str:
-        import uuid
 
-        return str(uuid.uuid5(uuid.NAMESPACE_URL, ";".join([files] if isinstance(files, str) else files)))
+def add_range_ids(df: DataFrame, ranges: DataFrame, file_field: str, order: list[str], id_field: str = ID) -> DataFrame:
+    """``df`` with ids by :func:`id_ranges`: the same for the same rows in every run."""
+    about = ranges.select(F.col("file").alias("_file"), F.col("part").alias("_part"), F.col("first").alias("_first"))
+    rows = df.withColumn("_part", _id_part(order))
+    rank = F.row_number().over(Window.partitionBy(file_field, "_part").orderBy(*order)) - 1
+    met = rows.withColumn("_rank", rank).alias("d").join(about.alias("r"), (F.col(f"d.{file_field}") == F.col("r._file")) & (F.col("d._part") == F.col("r._part")))
+    return met.select(*[F.col(f"d.{c}") for c in df.columns if c != id_field], (F.col("r._first") + F.col("d._rank")).alias(id_field))
 
-    def register(self, files: str | list[str], count: int) -> int:
-        key = self.key(files)
-        if key not in self.ranges:
-            self.ranges[key] = (self.next, self.next + count - 1)
-            self.next += count
-        return self.ranges[key][0]
 
-    def range(self, files: str | list[str]) -> tuple[int, int]:
-        return self.ranges[self.key(files)]
+ID_PARTS = 64
 
-    def to_json(self) -> str:
-        return json.dumps({"next_id": self.next, "ranges": self.ranges})
 
-    @classmethod
-    def from_json(cls, text: str) -> IdRegistry:
-        raw = json.loads(text)
-        return cls(raw["next_id"], {k: tuple(v) for k, v in raw["ranges"].items()})
+def _id_part(order: list[str]):
+    return F.pmod(F.xxhash64(*order), F.lit(ID_PARTS)).cast("int")

@@ -80,7 +80,27 @@ def test_clusters(spark):
     assert len(groups) == 3 and all(r.k == 1 for r in groups)
 
 
-def test_registry():
-    r = D.IdRegistry()
-    assert (r.register(["a", "b"], 10), r.register("c", 5), r.register(["a", "b"], 10)) == (0, 10, 0)
-    assert D.IdRegistry.from_json(r.to_json()).range("c") == (10, 14)
+def test_id_ranges(spark):
+    rows = spark.createDataFrame([("b", 1), ("a", 2), ("a", 3), ("b", 4), ("b", 5)], "file string, n int")
+    ranges = D.id_ranges(rows, "file", ["n"], start=10)
+    got = {r.n: r[D.ID] for r in D.add_range_ids(rows, ranges, "file", ["n"]).collect()}
+    assert sorted(got.values()) == [10, 11, 12, 13, 14] and {got[2], got[3]} == {10, 11}
+    more = rows.unionByName(spark.createDataFrame([("A", 6), ("A", 7)], "file string, n int"))
+    again = D.add_range_ids(more, D.id_ranges(more, "file", ["n"], known=ranges), "file", ["n"]).collect()
+    assert {r.n: r[D.ID] for r in again if r.n < 6} == got and {r[D.ID] for r in again if r.n > 5} == {15, 16}
+    assert D.id_ranges(rows.limit(0), "file", ["n"]).count() == 0
+
+
+def test_minhash_estimates_similarity(spark):
+    import random
+
+    rng = random.Random(1)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(3000))
+    texts = [base, base[:2400] + "".join(rng.choice("xyz") for _ in range(600)), base[1500:], "x"]
+    rows = D.minhash(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), char_ngrams=10, num_hashes=1000).orderBy(D.ID).collect()
+    grams = [{t[i : i + 10] for i in range(max(1, len(t) - 9))} for t in texts]
+    for i in range(4):
+        for j in range(4):
+            same = sum(x == y for x, y in zip(rows[i][D.SIGNATURE], rows[j][D.SIGNATURE], strict=True)) / 1000
+            assert abs(same - len(grams[i] & grams[j]) / len(grams[i] | grams[j])) < 0.06
+    assert all(0 <= x < 1 << 32 for x in rows[0][D.SIGNATURE])
