@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,6 +25,36 @@ def register_word_splitter(lang: str, splitter: Callable[[Column], Column]) -> N
     WORD_SPLITTERS[lang] = splitter
 
 
+class Splits:
+    """Splits of one text (words, lines, paragraphs) that several formulas need: while :meth:`shared` is active, they are
+    fields of a struct column that is computed once, instead of expressions of their own."""
+
+    def __init__(self, text: Column, name: str):
+        self.text, self.name, self.fields = text, name, {}
+
+    @contextmanager
+    def shared(self) -> Iterator[None]:
+        token = _ACTIVE.set(self)
+        try:
+            yield
+        finally:
+            _ACTIVE.reset(token)
+
+    def column(self) -> Column:
+        return F.struct(*[made.alias(field) for field, made in self.fields.items()]).alias(self.name)
+
+
+_ACTIVE: ContextVar[Splits | None] = ContextVar("splits", default=None)
+
+
+def _split(text: Column, field: str, made: Column) -> Column:
+    active = _ACTIVE.get()
+    if active is None or active.text is not text:
+        return made
+    active.fields.setdefault(field, made)
+    return F.col(active.name)[field]
+
+
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"^[{BLANK}]+|[{BLANK}]+\z", "")
 
@@ -30,19 +62,19 @@ def strip(text: Column) -> Column:
 def words(text: Column, lang: str = "en") -> Column:
     """Non-empty words between blanks. Chinese and Japanese need a registered splitter."""
     if lang in WORD_SPLITTERS:
-        return WORD_SPLITTERS[lang](text)
+        return _split(text, f"words_{lang}", WORD_SPLITTERS[lang](text))
     if lang in ("zh", "ja"):
         raise ValueError(f"words of {lang!r} need a splitter: register_word_splitter")
-    return F.filter(F.split(text, f"[{BLANK}]+", -1), lambda w: w != "")
+    return _split(text, "words", F.array_remove(F.split(text, f"[{BLANK}]+", -1), ""))
 
 
 def paragraphs(text: Column) -> Column:
-    return F.split(text, "\n\n", -1)
+    return _split(text, "paragraphs", F.split(text, "\n\n", -1))
 
 
 def lines(text: Column) -> Column:
     """Lines that hold more than blanks, as they stand."""
-    return F.filter(F.split(text, "\n", -1), lambda s: strip(s) != "")
+    return _split(text, "lines", F.filter(F.split(text, "\n", -1), lambda s: s.rlike(f"[^{BLANK}]")))
 
 
 def ngrams(items: Column, n: int) -> Column:

@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievework.functions import text as T
 from sievework.operators.filters import Rule
 
 Scorer = Rule | Callable[[Column], Column]
@@ -56,17 +57,42 @@ def select(df: DataFrame, rules: Scorer | list[Scorer], filter_field: str | list
 
 
 def score_filter(df: DataFrame, rules: Rule | list[Rule], text_field: str | list[str] = "text", score_field: str | list[str | None] | None = None, invert: bool | list[bool] = False) -> DataFrame:
-    """Score and keep, rule after rule; scores without a field are dropped."""
+    """Score and keep, by all rules; scores without a field are dropped.
+
+    Words, lines and paragraphs that rules share are split once, and each score is computed once: both stand in struct
+    columns behind an ``explode`` of one element, through which Catalyst neither pushes nor copies expressions. All of it
+    is one stage.
+    """
     rules = _steps(rules)
-    for rule, text, name, turned in zip(rules, _each(text_field, len(rules), "text_field"), _each(score_field, len(rules), "score_field"), _each(invert, len(rules), "invert"), strict=True):
-        require(df, [text])
-        if name is None:
-            kept = rule.keep(rule.score(F.col(text)))
-        else:
-            df = df.withColumn(name, rule.score(F.col(text)))
-            kept = rule.keep(F.col(name))
-        df = df.where(~kept if turned else kept)
-    return df
+    texts, names, turned = (_each(v, len(rules), n) for v, n in ((text_field, "text_field"), (score_field, "score_field"), (invert, "invert")))
+    require(df, set(texts) - {n for n in names if n})
+    for k, text in enumerate(texts):
+        if text in names[:k]:  # a rule of a score: those before it come first
+            first = score_filter(df, rules[:k], texts[:k], names[:k], turned[:k])
+            return score_filter(first, rules[k:], texts[k:], names[k:], turned[k:])
+    splits = {text: T.Splits(F.col(text), _unused(df, f"_splits{i}")) for i, text in enumerate(dict.fromkeys(texts))}
+    scores = []
+    for k, (rule, text) in enumerate(zip(rules, texts, strict=True)):
+        with splits[text].shared():
+            scores.append(rule.score(splits[text].text).alias(f"s{k}"))
+    out, fields = df, df.columns
+    for split in splits.values():
+        if split.fields:
+            out = out.select("*", F.explode(F.array(split.column())).alias(split.name))
+    scored = _unused(df, "_scores")
+    out = out.select(*fields, F.explode(F.array(F.struct(*scores))).alias(scored))
+    for k, (rule, inverted) in enumerate(zip(rules, turned, strict=True)):
+        kept = rule.keep(F.col(scored)[f"s{k}"])
+        out = out.where(~kept if inverted else kept)
+    put = {name: F.col(scored)[f"s{k}"].alias(name) for k, name in enumerate(names) if name}
+    return out.select(*[put.get(c, F.col(c)) for c in fields], *[v for n, v in put.items() if n not in fields])
+
+
+def _unused(df: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def modify(df: DataFrame, modifiers: Callable[..., Column] | list[Callable[..., Column]], input_fields: str | list = "text", output_fields: str | list[str | None] | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sievework.operators import filters as R
 from sievework.operators import python_filters as P
 from sievework.operators.harness import score_filter
+from sievework.plans.tables import table
 
 #: White space for DuckDB's regular expressions.
 WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -89,7 +90,7 @@ PYTHON_FILTERS: dict[str, R.Rule] = {
 
 def _scored(rule: R.Rule):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", rule.score(F.col("text")).alias("score"))
+        docs = table(spark, sf_dir, "documents").select("doc_id", rule.score(F.col("text")).alias("score"))
         return docs.withColumn("kept", F.coalesce(rule.keep(F.col("score")), F.lit(False)))
 
     return query
@@ -100,7 +101,7 @@ CHAIN = ["non_alphanumeric", "word_count", "mean_word_length", "punctuation", "r
 
 
 def chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return score_filter(docs, [FILTERS[n][0] for n in CHAIN], score_field=CHAIN).drop("text")
 
 

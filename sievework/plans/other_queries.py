@@ -7,23 +7,19 @@ from pyspark.sql import functions as F
 
 from sievework.operators import interleaved, models, segments, translation
 from sievework.plans.filter_queries import strip
-from sievework.plans.tables import fresh_path
+from sievework.plans.tables import fresh_path, table
 from sievework.sources import extract, readers, writers
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
 def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, path = _read(spark, sf_dir, "documents"), fresh_path(spark, "jsonl")
+    docs, path = table(spark, sf_dir, "documents"), fresh_path(spark, "jsonl")
     writers.write_jsonl(docs, path, ["doc_id", "text", "lang"])
     return readers.read_jsonl(spark, path, schema="doc_id long, text string, lang string").select("doc_id", F.md5("text").alias("md5"), "lang")
 
 
 def parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "parquet")
-    writers.write_parquet(_read(spark, sf_dir, "lineitem"), path, ["l_orderkey", "l_quantity", "l_returnflag"])
+    writers.write_parquet(table(spark, sf_dir, "lineitem"), path, ["l_orderkey", "l_quantity", "l_returnflag"])
     return readers.read_parquet(spark, path, ["l_orderkey", "l_quantity"]).where("l_quantity >= 49")
 
 
@@ -33,7 +29,7 @@ def token_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = fresh_path(spark, "token_pairs")
     encode = lambda texts: [[zlib.crc32(w.encode()) % 50_000 for w in t.split()] for t in texts]
-    found = writers.write_token_pairs(_read(spark, sf_dir, "documents"), path, encode, 50_000, end_id=0)
+    found = writers.write_token_pairs(table(spark, sf_dir, "documents"), path, encode, 50_000, end_id=0)
     return spark.createDataFrame(found, "file string, documents long").agg(F.sum("documents").cast("long").alias("documents"))
 
 
@@ -45,16 +41,16 @@ def webdataset_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.extract_html(_read(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "language", F.length("text").alias("n"))
+    return extract.extract_html(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "language", F.length("text").alias("n"))
 
 
 def html_dense_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.extract_html(_read(spark, sf_dir, "pages").select("page_id", "html"), algorithm="density").select("page_id", "language", F.length("text").alias("n"))
+    return extract.extract_html(table(spark, sf_dir, "pages").select("page_id", "html"), algorithm="density").select("page_id", "language", F.length("text").alias("n"))
 
 
 def _turn_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as interleaved rows: a metadata row, and a text row for each turn; tool turns stand for images."""
-    turns = _read(spark, sf_dir, "conversations")
+    turns = table(spark, sf_dir, "conversations")
     text = turns.select(F.col("conv_id").cast("string").alias("sample_id"), F.col("turn").cast("int").alias("position"), F.when(F.col("turn") % 3 == 2, "image").otherwise("text").alias("modality"), F.col("text").alias("text_content"))
     meta = turns.select(F.col("conv_id").cast("string").alias("sample_id")).distinct().select("sample_id", F.lit(-1).alias("position"), F.lit("metadata").alias("modality"), F.lit("{}").alias("text_content"))
     return readers.align_interleaved(text.withColumn("text_content", F.when(F.col("modality") == "text", F.col("text_content"))).unionByName(meta))
@@ -75,7 +71,7 @@ def interleaved_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of a user as a recording: a segment for each, in whole seconds from a fixed day on."""
-    e = _read(spark, sf_dir, "events").select("user_id", "event_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("at"), "value", "event_type")
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("at"), "value", "event_type")
     segment = F.struct((F.col("at") % 86400).cast("double").alias("start"), (F.col("at") % 86400 + F.pmod(F.col("event_id"), F.lit(600)) + 1).cast("double").alias("end"), F.col("event_type").alias("speaker"), F.col("event_type").alias("text"), F.col("event_id"))
     return e.groupBy("user_id").agg(F.array_sort(F.collect_list(segment)).alias("segments"))
 
@@ -91,32 +87,32 @@ def segment_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segments_without_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segments.drop_overlaps(_recordings(spark, sf_dir)).select("user_id", F.explode("segments").alias("s")).select("user_id", "s.event_id")
+    return segments.drop_overlaps(_recordings(spark, sf_dir), id_field="user_id").select("user_id", F.explode("segments").alias("s")).select("user_id", "s.event_id")
 
 
 def snippet_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned = segments.plan_snippets(segments.drop_overlaps(_recordings(spark, sf_dir)), longest=3600.0, widest_gap=900.0)
+    planned = segments.plan_snippets(segments.drop_overlaps(_recordings(spark, sf_dir), id_field="user_id"), longest=3600.0, widest_gap=900.0)
     return planned.select("user_id", "snippet.start", "snippet.end", F.size("snippet.segments").alias("n"))
 
 
 def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("path"), F.col("p_size").cast("double").alias("duration"))
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("path"), F.col("p_size").cast("double").alias("duration"))
     return segments.fixed_stride(parts, length=10.0, stride=5.0, shortest=2.0).select("path", "clip_start", "clip_end")
 
 
 def character_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = _read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
+    names = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     return names.select("p_partkey", segments.error_rates("p_type", "p_brand", True).alias("cer"))
 
 
 def word_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _read(spark, sf_dir, "conversations")
+    turns = table(spark, sf_dir, "conversations")
     after = turns.withColumn("next", F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn")))
     return after.select("conv_id", "turn", segments.error_rates("text", "next").alias("wer"))
 
 
 def hallucinations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("pred_text"), F.lit(10.0).alias("duration"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("pred_text"), F.lit(10.0).alias("duration"))
     return segments.hallucination_reasons(turns, ["thank you"]).select("conv_id", "turn", F.array_join("hallucination", ",").alias("reasons"))
 
 
@@ -129,16 +125,16 @@ def _by_length():
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stand-in model whose logits are a text's length and two constants."""
     classifier = models.Classifier(_by_length, **models.QUALITY)
-    return classifier(_read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "quality_pred")
+    return classifier(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "quality_pred")
 
 
 def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = models.embed(_read(spark, sf_dir, "documents").select("doc_id", "text"), models.hashed_vector(32))
+    got = models.embed(table(spark, sf_dir, "documents").select("doc_id", "text"), models.hashed_vector(32))
     return got.select("doc_id", F.size("embeddings").alias("n"))
 
 
 def labelled_high_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.judge_filters(_read(spark, sf_dir, "labels"), [{"field": "quality", "operator": "gte", "value": 1}, {"field": "toxic", "operator": "not_in", "value": [1]}])
+    return models.judge_filters(table(spark, sf_dir, "labels"), [{"field": "quality", "operator": "gte", "value": 1}, {"field": "toxic", "operator": "not_in", "value": [1]}])
 
 
 def _brackets():
@@ -147,7 +143,7 @@ def _brackets():
 
 def translated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stand-in translator that writes brackets."""
-    turns = _read(spark, sf_dir, "conversations").withColumn("id", F.col("conv_id") * 1000 + F.col("turn"))
+    turns = table(spark, sf_dir, "conversations").withColumn("id", F.col("conv_id") * 1000 + F.col("turn"))
     return translation.translate(turns.select("id", "text"), _brackets, "id", shortest=20).select("id", F.md5("translated_text").alias("md5"))
 
 

@@ -8,10 +8,7 @@ from pyspark.sql import functions as F
 from sievework.functions import text as T
 from sievework.operators import dedup, harness, modifiers, shape
 from sievework.plans.filter_queries import PARAGRAPHS, POLICY, WS, strip
-
-
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+from sievework.plans.tables import table
 
 
 _BETWEEN = "substring(text, position('the' IN text), greatest(length(text) - position('.' IN reverse(text)) + 1 - position('the' IN text) + 1, 0))"
@@ -48,7 +45,7 @@ MODIFIERS = {
 
 def _modified(step):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        docs = harness.modify(_read(spark, sf_dir, "documents").select("doc_id", "text"), step)
+        docs = harness.modify(table(spark, sf_dir, "documents").select("doc_id", "text"), step)
         return docs.select("doc_id", F.length("text").alias("n"), F.md5("text").alias("md5"))
 
     return query
@@ -59,62 +56,62 @@ def unicode_reformatted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shape.split_documents(_read(spark, sf_dir, "documents").select("doc_id", "text"), "\n")
+    return shape.split_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), "\n")
 
 
 def join_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shape.join_documents(_read(spark, sf_dir, "conversations"), "\n", segment_id_field="turn", document_id_field="conv_id")
+    return shape.join_documents(table(spark, sf_dir, "conversations"), "\n", segment_id_field="turn", document_id_field="conv_id")
 
 
 def repack_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _read(spark, sf_dir, "conversations").withColumn("length", F.length("text").cast("long"))
+    turns = table(spark, sf_dir, "conversations").withColumn("length", F.length("text").cast("long"))
     return shape.join_documents(turns, "\n", segment_id_field="turn", document_id_field="conv_id", drop_segment_id_field=False, max_length=400, length_field="length")
 
 
 def merged_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _read(spark, sf_dir, "conversations").withColumn("n", F.length("text").cast("long"))
+    turns = table(spark, sf_dir, "conversations").withColumn("n", F.length("text").cast("long"))
     return shape.merge_chunks(turns, ["conv_id"], "text", None, "turn", no_content=["none"], sum_columns=["n"]).drop("turn")
 
 
 def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shape.add_id(_read(spark, sf_dir, "documents").select("doc_id"), "id", "doc", order_by=["doc_id"])
+    return shape.add_id(table(spark, sf_dir, "documents").select("doc_id"), "id", "doc", order_by=["doc_id"])
 
 
 def chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shape.split_by_tokens(_read(spark, sf_dir, "documents").select("doc_id", "text"), lambda texts: [len(t.split()) for t in texts], 200, "\n")
+    return shape.split_by_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), lambda texts: [len(t.split()) for t in texts], 200, "\n")
 
 
 def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.exact_duplicates(_read(spark, sf_dir, "documents"), "doc_id", normalise=True)
+    return dedup.exact_duplicates(table(spark, sf_dir, "documents"), "doc_id", normalise=True)
 
 
 def exact_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _read(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     return dedup.remove_ids(docs, dedup.exact_duplicates(docs, "doc_id"), "doc_id").select("doc_id", "n_chars")
 
 
 def fuzzy_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.fuzzy_duplicates(_read(spark, sf_dir, "documents"), "doc_id")
+    return dedup.fuzzy_duplicates(table(spark, sf_dir, "documents"), "doc_id")
 
 
 def lsh_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    signatures = dedup.minhash(_read(spark, sf_dir, "documents"), "doc_id")
+    signatures = dedup.minhash(table(spark, sf_dir, "documents"), "doc_id")
     return dedup.lsh_buckets(signatures)
 
 
 def customer_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of the graph of orders and their customers."""
-    orders = _read(spark, sf_dir, "orders").where("o_custkey IS NOT NULL")
+    orders = table(spark, sf_dir, "orders").where("o_custkey IS NOT NULL")
     edges = orders.select(F.col("o_custkey").alias("id_x"), (F.lit(10_000_000) + F.col("o_orderkey")).alias("id_y"))
     return dedup.components(edges).select(F.col(dedup.ID).alias("id"), F.col(dedup.GROUP).alias("component"))
 
 
 def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.cluster(_read(spark, sf_dir, "embeddings"), 10, "vec_id", "embedding", max_iter=20).drop("embedding")
+    return dedup.cluster(table(spark, sf_dir, "embeddings"), 10, "vec_id", "embedding", max_iter=20).drop("embedding")
 
 
 def _by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = _read(spark, sf_dir, "embeddings")
+    vectors = table(spark, sf_dir, "embeddings")
     return vectors.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").alias("centroid"), F.lit(0.0).alias("cosine_dist_to_cent"))
 
 
@@ -124,11 +121,11 @@ def pairwise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def semantic_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.semantic_duplicates(_read(spark, sf_dir, "embeddings"), 10, 0.1, "vec_id", "embedding", max_iter=20)
+    return dedup.semantic_duplicates(table(spark, sf_dir, "embeddings"), 10, 0.1, "vec_id", "embedding", max_iter=20)
 
 
 def preserved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return harness.preserve_by_value(_read(spark, sf_dir, "events").select("event_id", "value"), "value", 50, "ge")
+    return harness.preserve_by_value(table(spark, sf_dir, "events").select("event_id", "value"), "value", 50, "ge")
 
 
 QUERIES = {f"modify_{n}": _modified(step) for n, (step, _) in MODIFIERS.items()} | {

@@ -40,6 +40,17 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than there are cores, dealt to all cores: where a table is one large row group, all that
+    comes after would be one task. Scans of more splits are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/sievework/{uuid.uuid4().hex}/{name}"
 
