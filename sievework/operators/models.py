@@ -5,6 +5,7 @@ A factory makes the model once for each worker process. The reference models' we
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -15,21 +16,22 @@ from pyspark.sql import functions as F
 
 from sievework.operators.filters import Rule
 
-_made: dict[int, object] = {}
+_made: dict[str, object] = {}
 
 
-def _model(factory: Callable[[], Callable]) -> Callable:
-    key = id(factory)
-    if key not in _made:
-        _made[key] = factory()
-    return _made[key]
+def _model(name: str, factory: Callable[[], Callable]) -> Callable:
+    """A worker's model by the name its operator was given; a later operator's name is another."""
+    if name not in _made:
+        _made[name] = factory()
+    return _made[name]
 
 
 def infer(factory: Callable[[], Callable[[list], list]], kind: str, batch: int = 256, sort_by_length: bool = True) -> Callable[[Column], Column]:
     """A Column function of a model ``list -> list``. Texts of near lengths share a batch; results keep their rows' order."""
+    name, fields = uuid.uuid4().hex, kind.startswith("struct<")
 
     def run(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = _model(factory)
+        model = _model(name, factory)
         for values in series:
             items = values.tolist()
             order = sorted(range(len(items)), key=lambda i: (len(items[i] or ""), i)) if sort_by_length else range(len(items))
@@ -38,9 +40,9 @@ def infer(factory: Callable[[], Callable[[list], list]], kind: str, batch: int =
                 part = order[at : at + batch]
                 for i, got in zip(part, model([items[i] or "" for i in part]), strict=True):
                     out[i] = got
-            yield pd.Series(out, dtype="object")
+            yield pd.DataFrame(out) if fields else pd.Series(out, dtype="object")
 
-    run.__annotations__ = {"series": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    run.__annotations__ = {"series": Iterator[pd.Series], "return": Iterator[pd.DataFrame if fields else pd.Series]}
     return F.pandas_udf(run, kind)
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievework.plans import filter_queries, other_queries, shape_queries
+from sievework.plans import filter_queries, other_queries, row_queries, shape_queries
 
-_PARTS = (filter_queries, shape_queries, other_queries)
+_PARTS = (filter_queries, shape_queries, other_queries, row_queries)
 QUERIES = {k: v for part in _PARTS for k, v in part.QUERIES.items()}
 ORACLE_SQL = {k: v for part in _PARTS for k, v in part.ORACLE_SQL.items()}
 

@@ -23,16 +23,6 @@ def parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_parquet(spark, path, ["l_orderkey", "l_quantity"]).where("l_quantity >= 49")
 
 
-def token_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of word hashes as ids and their sizes, as the writer reports them."""
-    import zlib
-
-    path = fresh_path(spark, "token_pairs")
-    encode = lambda texts: [[zlib.crc32(w.encode()) % 50_000 for w in t.split()] for t in texts]
-    found = writers.write_token_pairs(table(spark, sf_dir, "documents"), path, encode, 50_000, end_id=0)
-    return spark.createDataFrame(found, "file string, documents long").agg(F.sum("documents").cast("long").alias("documents"))
-
-
 def webdataset_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "tar")
     writers.write_webdataset(_turn_rows(spark, sf_dir), path, 4)
@@ -150,7 +140,6 @@ def translated(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "jsonl_round_trip": jsonl_round_trip,
     "parquet_round_trip": parquet_round_trip,
-    "token_pairs": token_pairs,
     "webdataset_round_trip": webdataset_round_trip,
     "html_text": html_text,
     "html_dense_text": html_dense_text,
@@ -174,7 +163,6 @@ AND (least(x.b, y.b) - greatest(x.a, y.a) >= 0.5 OR (x.a <= y.a AND x.b >= y.b)
 ORACLE_SQL = {
     "jsonl_round_trip": "SELECT doc_id, md5(text) AS md5, lang FROM documents",
     "parquet_round_trip": "SELECT l_orderkey, l_quantity FROM lineitem WHERE l_quantity >= 49",
-    "token_pairs": "SELECT count(*)::BIGINT AS documents FROM documents",
     "webdataset_round_trip": f"{_TURNS} SELECT sample_id, count(*) AS texts, sum(length(text_content))::BIGINT AS chars FROM t WHERE modality = 'text' GROUP BY sample_id",
     "interleaved_filter": f"""{_TURNS}, k AS (SELECT * FROM t WHERE modality <> 'text' OR length(text_content) >= 60)
 SELECT sample_id, (row_number() OVER (PARTITION BY sample_id ORDER BY position) - 1)::INTEGER AS position, modality, length(text_content)::INTEGER AS n FROM k
