@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sievework.operators import dedup, filters, harness, interleaved, models, segments, shape, translation
+from sievework.operators import dedup, filters, harness, interleaved, media, models, segments, shape, translation
 from sievework.plans.filter_queries import WORDS
 from sievework.plans.pipeline import Pipeline
 from sievework.plans.tables import fresh_path, table
@@ -386,6 +386,144 @@ def windows_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("user_id", F.explode("windows").alias("w")).select("user_id", F.col("w.segments")[0]["start"].alias("start"), F.size("w.segments").alias("n"))
 
 
+@query("SELECT p_partkey, 'has ' || p_size || ' parts' AS text FROM part")
+def spoken_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    units, tens = (F.array(*map(F.lit, names)) for names in (media.UNITS, media.TENS))
+    size = F.col("p_size").cast("int")
+    ten = F.element_at(tens, F.greatest(F.floor(size / 10).cast("int") - 1, F.lit(1)))
+    spelt = F.when(size < 20, F.element_at(units, size + 1)).when(size % 10 == 0, ten).otherwise(F.concat(ten, F.lit("-"), F.element_at(units, size % 10 + 1)))
+    return table(spark, sf_dir, "part").select("p_partkey", media.inverse_normalised(F.concat(F.lit("has "), spelt, F.lit(" parts"))).alias("text"))
+
+
+@query("SELECT p_partkey, translate(p_type, 'AEI', 'aei') AS text FROM part")
+def characters_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", media.convert_characters(F.col("p_type"), {"A": "a", "E": "e", "I": "i"}).alias("text"))
+
+
+def _samples(raw: bytes):
+    from sievework.functions.audio import read_wav
+
+    return read_wav(raw)
+
+
+def _recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as WAV files of p_size seconds at 100 Hz, whose every second is as loud as its number."""
+
+    def wav(seconds: int) -> bytes:
+        import numpy as np
+
+        return media.wav_bytes(np.repeat(np.arange(1, seconds + 1), 100) / 1024, 100)
+
+    return table(spark, sf_dir, "part").select("p_partkey", "p_size", segments.fold(wav, "binary")("p_size").alias("content"))
+
+
+@query("SELECT p_partkey, p_size::DOUBLE AS duration FROM part")
+def durations_of_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recorded(spark, sf_dir).select("p_partkey", segments.wav_duration(F.col("content")).alias("duration"))
+
+
+@query("SELECT p_partkey, i::INTEGER AS segment_id, least(5, p_size - 5 * i)::DOUBLE AS duration, (5 * i + 1)::INTEGER AS loudness FROM part, range(0, 20) r(i) WHERE 5 * i < p_size")
+def segments_cut_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.transform(F.sequence(F.lit(0), F.ceil(F.col("p_size") / 5).cast("int") - 1), lambda k: F.struct((k * 5.0).alias("start"), F.least(k * 5.0 + 5.0, F.col("p_size").cast("double")).alias("end")))
+    rows = media.extract_segments(_recorded(spark, sf_dir).withColumn("segments", spans))
+    first = segments.fold(lambda raw: round(float(_samples(raw)[0][0, 0]) * 1024), "int")
+    return rows.select("p_partkey", "segment_id", segments.wav_duration(F.col("audio")).alias("duration"), first("audio").alias("loudness"))
+
+
+def _hears():
+    """A stand-in recogniser: a word for each second, its loudness as text."""
+    import numpy as np
+
+    def run(recordings: list[bytes]) -> list[dict]:
+        out = []
+        for raw in recordings:
+            x, rate = _samples(raw)
+            heard = [str(int(v)) for v in np.round(x[::rate, 0] * 1024)]
+            out.append({"text": " ".join(heard), "language": "en", "alignment": [{"word": w, "start": float(i), "end": i + 1.0} for i, w in enumerate(heard)]})
+        return out
+
+    return run
+
+
+@query("SELECT p_partkey, array_to_string(range(1, p_size + 1), ' ') AS text, p_size::INTEGER AS words, (p_size - 1)::DOUBLE AS last FROM part")
+def transcripts_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cut into parts of 7 s, recognised and joined."""
+    joined = media.transcribe_in_parts(_recorded(spark, sf_dir), _hears, "p_partkey", longest=7.0)
+    return joined.select("p_partkey", "text", F.size("alignment").alias("words"), F.element_at("alignment", -1)["start"].alias("last"))
+
+
+def _takes_turns():
+    return lambda recordings: [[{"start": float(10 * k), "end": 10.0 * k + 9, "speaker": "ab"[k % 2]} for k in range(3)] for _ in recordings]
+
+
+@query("SELECT p_partkey, s AS speaker, CASE s WHEN 'a' THEN 2 ELSE 1 END AS spans FROM part, (VALUES ('a'), ('b')) t(s)")
+def speakers_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = media.diarise(_recorded(spark, sf_dir), _takes_turns)
+    return media.separate_speakers(found).select("p_partkey", "speaker", F.size("spans").alias("spans"))
+
+
+@query("SELECT p_partkey, p_size >= 6 AS speech FROM part")
+def speech_in_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second is louder than the one before; from the fourth on it is over the threshold."""
+    spans = media.speech_spans(F.col("content"), threshold_db=-50.5, frame=1.0, shortest=3.0, pad=0.0)
+    return _recorded(spark, sf_dir).select("p_partkey", (F.size(spans) > 0).alias("speech"))
+
+
+@query("SELECT vec_id, round(1 - (1 - abs(embedding[1])::DOUBLE) * (1 - abs(embedding[3])::DOUBLE), 6)::DOUBLE AS p FROM embeddings WHERE abs(embedding[1]) <= 1")
+def joint_event_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frames = F.array(F.transform("embedding", F.abs))
+    rows = table(spark, sf_dir, "embeddings").where("abs(embedding[0]) <= 1")
+    return rows.select("vec_id", F.round(media.joint_probabilities(frames, [0, 2])[0], 6).alias("p"))
+
+
+@query("""SELECT p_partkey, (0.5 + i * 10.0)::DOUBLE AS start, least(p_size - 0.5, 10.5 + i * 10.0)::DOUBLE AS "end"
+FROM part, range(0, 10) r(i) WHERE (p_size - 1 > 10 OR i = 0) AND 0.5 + i * 10.0 < p_size - 0.5 AND least(p_size - 0.5, 10.5 + i * 10.0) - (0.5 + i * 10.0) >= 2
+UNION ALL SELECT p_partkey, (p_size + 1.5)::DOUBLE, (p_size + 5.5)::DOUBLE FROM part""")
+def clips_between_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Videos of one frame a second: p_size quiet ones, a cut, and five more."""
+    scores = F.concat(F.array_repeat(F.lit(0.1), F.col("p_size").cast("int")), F.array(F.lit(0.9)), F.array_repeat(F.lit(0.1), 5))
+    spans = media.scene_clips(scores, 1.0)
+    return table(spark, sf_dir, "part").select("p_partkey", F.explode(spans).alias("s")).select("p_partkey", "s.start", "s.end")
+
+
+@query('SELECT p_partkey, (i / 2.0)::DOUBLE AS time, (p_size / 2.0)::DOUBLE AS middle FROM part, range(0, 200) r(i) WHERE i < p_size * 2')
+def times_of_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start, end = F.lit(0), F.col("p_size")
+    return table(spark, sf_dir, "part").select("p_partkey", F.explode(media.frame_times(start, end)).alias("time"), media.frame_times(start, end, "middle")[0].alias("middle"))
+
+
+@query('SELECT p_partkey, (4 * i)::DOUBLE AS start, CASE WHEN i + 1 = greatest(1, (p_size * 2 + 4) // 8) THEN p_size ELSE 4 * i + 4 END::DOUBLE AS "end" FROM part, range(0, 50) r(i) WHERE p_size > 0 AND i < greatest(1, (p_size * 2 + 4) // 8)')
+def windows_for_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = media.caption_windows(F.lit(0), F.col("p_size"), fps=2.0, frames=8, remainder=4)
+    return table(spark, sf_dir, "part").select("p_partkey", F.explode(spans).alias("s")).select("p_partkey", "s.start", "s.end")
+
+
+@query("SELECT p_partkey, md5('f0,f1,f2') AS preview, 'ends at ' || p_size AS caption FROM part")
+def captions_and_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stand-in decoder, captioner and encoder."""
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.encode(F.col("p_size").cast("string"), "UTF-8").alias("content"), F.array(F.lit(0.0), F.lit(1.0), F.lit(2.0)).alias("times"))
+    framed = media.extract_frames(rows, lambda raw, times: [f"f{t:.0f}".encode() for t in times])
+    told = media.caption(framed, lambda: lambda items: [f"ends at {x.decode()}" for x in items])
+    return media.previews(told, lambda frames: b",".join(map(bytes, frames))).select("p_partkey", F.md5("preview").alias("preview"), "caption")
+
+
+@query("SELECT p_partkey, round(p_size / sqrt(p_size * p_size + 9.0), 4)::DOUBLE AS x, p_size / 7.0 AS score FROM part WHERE p_size / 7.0 >= 3")
+def media_vectors_and_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.encode(F.col("p_size").cast("string"), "UTF-8").alias("content"))
+    seen = media.embed_media(rows, lambda: lambda items: [[float(x), 3.0] for x in items])
+    scored = media.score_media(seen, lambda: lambda items: [int(x) / 7.0 for x in items], "score")
+    return models.score_limits(scored, {"score": (3.0, None)}).select("p_partkey", F.round(F.col("embeddings")[0].cast("double"), 4).alias("x"), "score")
+
+
+@query("SELECT p_partkey, round(p_size / 300.0, 6)::DOUBLE AS mean FROM part WHERE p_size / 300.0 >= 0.05")
+def clips_that_move(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two patches, each with one vector a frame of p_size pixels, of 300 lines."""
+    vector = lambda x: F.struct(F.lit(0.0).alias("y"), F.lit(x).alias("x"), F.col("p_size").cast("double").alias("dy"), F.lit(0.0).alias("dx"))
+    frames = F.array_repeat(F.array(vector(0.0), vector(300.0)), 3)
+    rows = table(spark, sf_dir, "part").select("p_partkey", media.motion_scores(frames, F.lit(300), F.lit(512), 512 // 2).alias("motion"))
+    return media.moving(rows, least_mean=0.05, least_patch=0.0).select("p_partkey", F.round("motion.mean", 6).alias("mean"))
+
+
 # model adapters
 
 

@@ -11,13 +11,14 @@ from sievework.plans.tables import materialise
 MANY, PARTS = 2_000, 32
 
 
-def join_about(rows: DataFrame, about: DataFrame, key: str, how: str = "left") -> DataFrame:
+def join_about(rows: DataFrame, about: DataFrame, key: str, how: str = "left", counts: DataFrame | None = None) -> DataFrame:
     """``rows`` joined with ``about``, a table of at most one row for each ``key``; ``how`` is left or inner.
 
-    Keys with more than MANY rows are found first, from counts that are aggregated before the shuffle. Their rows are
-    dealt to PARTS tasks by a hash of all their columns, and their row of ``about`` goes to each of those.
+    Keys with more than MANY rows are found first, from ``counts(key, count)`` or else from counts that are aggregated
+    before the shuffle. Their rows are dealt to PARTS tasks by a hash of all their columns, and their row of ``about`` goes to each of those.
     """
-    hot = materialise(rows.groupBy(key).count().where(F.col("count") > MANY).where(F.col(key).isNotNull()).select(key), "hot")
+    counts = rows.groupBy(key).count() if counts is None else counts
+    hot = materialise(counts.where(F.col("count") > MANY).where(F.col(key).isNotNull()).select(key), "hot")
     if hot.isEmpty():
         return rows.join(about, key, how)
     # count(rows) / MANY keys at most: Spark broadcasts them where their size allows it

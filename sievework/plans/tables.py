@@ -66,5 +66,5 @@ def forget(df: DataFrame) -> None:
     """Delete a table made by :func:`materialise`."""
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
     for top in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(top)
+        path = jvm.org.apache.hadoop.fs.Path(top).getParent()  # the folder that fresh_path made for it alone
         path.getFileSystem(conf).delete(path, True)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievework.operators import dedup as D
+from sievework.plans import graph
 from sievework.plans.graph import connected_components
 
 
@@ -18,8 +19,9 @@ def test_exact(spark):
     assert D.remove_ids(df, df.limit(0).select("id")).count() == 6
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_components(spark, seed):
+@pytest.mark.parametrize(("seed", "small"), [(0, 0), (1, 0), (0, 500_000), (1, 500_000)])
+def test_components(spark, monkeypatch, seed, small):
+    monkeypatch.setattr(graph, "SMALL", small)
     rng = random.Random(seed)
     edges = [(i, i + 1) for i in range(0, 50)] + [(1000, 1000 + i) for i in range(1, 40)] + [(rng.randint(2000, 2100), rng.randint(2000, 2100)) for _ in range(60)]
     rng.shuffle(edges)
