@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from sievework.plans.graph import connected_components
+from sievework.plans.graph import connected_components, local_roots
 from sievework.plans.skew import join_about
 from sievework.plans.tables import forget, fresh_path, materialise, reach, shared_dir
 
@@ -59,25 +59,3 @@ def open_fs(uri: str):
 def null_safe_key(column: str):
     """A never-null string that differs for null and for every value."""
     return F.when(F.col(column).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(column).cast("string")))
-
-
-def local_roots(n: int, a, b, label=None):
-    """Smallest-index labels of 0..n-1 after joining a[i] with b[i]; ``label`` continues an earlier call."""
-    import numpy as np
-
-    label = np.arange(n) if label is None else label
-    while len(a):
-        la, lb = label[a], label[b]
-        apart = la != lb
-        if not apart.any():
-            break
-        a, b, la, lb = a[apart], b[apart], la[apart], lb[apart]
-        low = np.minimum(la, lb)
-        np.minimum.at(label, la, low)
-        np.minimum.at(label, lb, low)
-        while True:
-            up = label[label]
-            if (up == label).all():
-                break
-            label = up
-    return label

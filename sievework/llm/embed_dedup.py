@@ -8,7 +8,8 @@ Cells are cut into blocks of bounded size, and a task multiplies one block of in
 
 Edge cases: null, zero and empty vectors, and those with a null or non-finite component, link with nothing. So do
 vectors of other lengths with each other. Rows with the same id are one vertex, but each counts as a row; rows with
-a null id link with nothing, have a null component and are kept. An empty table gives an empty result.
+a null id link with nothing, have a null component and are kept. An empty table gives an empty result. Columns other
+than id and vector are ignored.
 """
 
 from __future__ import annotations
@@ -20,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm._runtime import connected_components, local_roots, materialise, reach
+from sievework.llm._runtime import connected_components, join_about, local_roots, materialise, reach, tidy
 
 THRESHOLD, MARGIN = 0.9, 0.12
 #: Classes that a cell should have, the most cells, and the classes that centroids are fitted on.
 CELL, MOST_CELLS, SAMPLE = 128, 4096, 20_000
-#: Rows of a block of indexed and of probing classes.
-INDEX_BLOCK, PROBE_BLOCK = 4096, 8192
+#: Rows of a block of indexed and of probing classes, and rows that are compared with all centres at once.
+INDEX_BLOCK, PROBE_BLOCK, ASSIGN = 4096, 8192, 512
 
 
 def usable(column: str):
@@ -62,28 +63,32 @@ def fit_cells(sample: np.ndarray, cells: int, rounds: int = 8, seed: int = 7) ->
 
 
 def _assign(classes: DataFrame, centres: dict[int, np.ndarray], margin: float) -> DataFrame:
-    """Each class with its cell, the cells it probes (its own first) and its unit vector."""
+    """Each class with its cell, the cells it probes and its vector."""
     sent = classes.sparkSession.sparkContext.broadcast(centres)  # at most MOST_CELLS vectors of a length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = dict(zip(sent.value, np.cumsum([0, *map(len, sent.value.values())]).tolist(), strict=False))
+        reach_of: dict[int, np.ndarray] = {}
         for batch in batches:
             dims = batch.column(4).to_numpy(zero_copy_only=False)
             for d in np.unique(dims).tolist():
-                at = np.flatnonzero(dims == d)
-                part = batch.take(pa.array(at))
-                x, c = unit(matrix(part.column(3))), sent.value[d]
-                cos = x @ c.T
-                home = cos.argmax(1)
-                apart = np.sqrt(np.maximum(2 - 2 * c @ c.T, 0))
-                near = cos[np.arange(len(x)), home][:, None] - cos <= margin * apart[home]
-                near[np.arange(len(x)), home] = True
-                row, cell = np.nonzero(near)
-                probes = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(near.sum(1))]).astype(np.int32)), pa.array((cell + first[d]).astype(np.int32)))
-                vec = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * d), pa.array(x.ravel()))
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array((home + first[d]).astype(np.int32)), probes, vec], names=["key", "node", "copies", "cell", "probes", "unit"])
-
-    return classes.select("key", "node", "copies", "vec", "dim").mapInArrow(run, "key long, node long, copies long, cell int, probes array<int>, unit array<double>")
+                c = sent.value[d]
+                if d not in reach_of:  # from each cell, how far a centre may lie behind the nearest to be probed
+                    reach_of[d] = (margin * np.sqrt(np.maximum(2 - 2 * c @ c.T, 0))).astype(np.float32)
+                mine = np.flatnonzero(dims == d)
+                for at in range(0, len(mine), ASSIGN):
+                    part = batch.take(pa.array(mine[at : at + ASSIGN]))
+                    cos = unit(matrix(part.column(3))) @ c.T
+                    row = np.arange(len(cos))
+                    home = cos.argmax(1)
+                    near = cos[row, home][:, None] - cos <= reach_of[d][home]
+                    near[row, home] = True
+                    cell = np.nonzero(near)[1]
+                    probes = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(near.sum(1))]).astype(np.int32)), pa.array((cell + first[d]).astype(np.int32)))
+                    yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array((home + first[d]).astype(np.int32)), probes, part.column(3)], names=["key", "node", "copies", "cell", "probes", "vec"])
+
+    kind = classes.schema["vec"].dataType.simpleString()
+    return classes.select("key", "node", "copies", "vec", "dim").mapInArrow(tidy(run), f"key long, node long, copies long, cell int, probes array<int>, vec {kind}")
 
 
 def _products(threshold: float):
@@ -103,8 +108,11 @@ def _products(threshold: float):
             other = np.unique(home[pr])
             spot = np.searchsorted(other, home)
             back_probe = np.zeros((len(ix), len(other)), bool)
-            for k, i in enumerate(ix.tolist()):
-                back_probe[k] = np.isin(other, probes[i], assume_unique=True)
+            sizes = np.array([len(probes[i]) for i in ix])
+            flat = np.concatenate([probes[i] for i in ix])
+            spots = np.minimum(np.searchsorted(other, flat), len(other) - 1)
+            hit = other[spots] == flat
+            back_probe[np.repeat(np.arange(len(ix)), sizes)[hit], spots[hit]] = True
             xi = rows["unit"][ix]
             for a in range(0, len(pr), 1024):
                 p = pr[a : a + 1024]
@@ -130,7 +138,7 @@ def _products(threshold: float):
             for a, b in zip(cuts, cuts[1:], strict=False):
                 part = table.slice(a, b - a).combine_chunks()
                 rows = {k: part.column(k).to_numpy() for k in ("at", "side", "key", "node", "copies", "cell")}
-                rows["unit"] = matrix(part.column("unit").combine_chunks())
+                rows["unit"] = unit(matrix(part.column("vec").combine_chunks()))
                 key, count, x, y = block(rows, [np.array(p) for p in part.column("probes").to_pylist()])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([key, x])), pa.array(np.concatenate([count, y])), pa.array(np.repeat([False, True], [len(key), len(x)]))], names=["a", "b", "edge"])
 
@@ -154,7 +162,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: fl
     """``(vec_id, n_links, component_id, kept)`` for each row."""
     spark = vectors.sparkSession
     reach(spark)
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vec"))
+    # floats stay floats on the way: they are widened where they are compared
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(kind).alias("vec"))
     rows = rows.withColumn("ok", usable("vec") & F.col("vec_id").isNotNull())
     # two hashes name a vector's class
     rows = rows.withColumn("h1", F.xxhash64("vec")).withColumn("h2", F.xxhash64(F.lit(1), F.reverse("vec")))
@@ -179,15 +189,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: fl
         return out
 
     own_i, own_p = F.pmod(F.col("key"), many(0)).cast("int"), F.pmod(F.col("key"), many(1)).cast("int")
-    cols = ["at", "task", "side", "key", "node", "copies", "cell", "probes", "unit"]
+    cols = ["at", "task", "side", "key", "node", "copies", "cell", "probes", "vec"]
     index = assigned.withColumn("at", F.col("cell")).withColumn("own", own_i).withColumn("other", F.explode(F.sequence(F.lit(0), many(1) - 1))).withColumn("task", F.col("own") * 65536 + F.col("other")).withColumn("side", F.lit(0)).select(cols)
     probing = assigned.withColumn("at", F.explode("probes")).withColumn("own", own_p).withColumn("other", F.explode(F.sequence(F.lit(0), many(0) - 1))).withColumn("task", F.col("other") * 65536 + F.col("own")).withColumn("side", F.lit(1)).select(cols)
-    found = materialise(index.unionByName(probing).repartition("at", "task").sortWithinPartitions("at", "task").mapInArrow(_products(threshold), "a long, b long, edge boolean"), "found")
+    found = materialise(index.unionByName(probing).repartition("at", "task").sortWithinPartitions("at", "task").mapInArrow(tidy(_products(threshold)), "a long, b long, edge boolean"), "found")
     degree = found.where("NOT edge").groupBy(F.col("a").alias("key")).agg(F.sum("b").alias("others"))
     same = _same_id(rows, classes)
     components = connected_components(found.where("edge").select("a", "b").unionByName(same))
     known = keyed.join(degree, "key", "left").join(components, "node", "left").select("h1", "h2", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
-    out = rows.select("vec_id", "ok", "h1", "h2").join(known, ["h1", "h2"], "left")
+    key = F.struct("h1", "h2")
+    out = join_about(rows.select("vec_id", "ok", key.alias("class")), known.select(key.alias("class"), "n_links", "component_id"), "class")
     out = out.select("vec_id", F.when(F.col("ok"), F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"), F.when(F.col("ok"), F.col("component_id")).otherwise(F.col("vec_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 

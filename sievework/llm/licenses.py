@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm._encoder import Numbered
-from sievework.llm._runtime import materialise, small_batches
+from sievework.llm._runtime import materialise, small_batches, tidy
 
 #: Phrases that have to stand word for word, and their labels: fixed values.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -46,8 +46,8 @@ TEMPLATES = [
 K = 2
 #: A span of a template counts where so many of its words stand on its diagonals; of them in a row, so many at least.
 COVER, ROW = 0.8, 4
-#: Rows of spans up to which they are broadcast to the texts that they stand in (some 100 bytes each).
-BROADCAST_ROWS = 100_000
+#: Bytes of spans, some 32 each, up to which they are broadcast to the texts that they stand in.
+BROADCAST_BYTES = 8 << 20
 
 
 def words(text: str | None) -> list[bytes]:
@@ -110,7 +110,7 @@ def gram_rows(docs: DataFrame, k: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, grams)]).astype(np.int32)), pa.array(np.concatenate(grams)))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], names=["doc_id", "th", "grams"])
 
-    return docs.select("doc_id", "th", "text").mapInArrow(run, "doc_id long, th long, grams array<long>")
+    return docs.select("doc_id", "th", "text").mapInArrow(tidy(run), "doc_id long, th long, grams array<long>")
 
 
 def candidates(grams: DataFrame, table: list[tuple[int, int, int]], listed: list[tuple[str, list[bytes], bool]], k: int) -> DataFrame:
@@ -171,10 +171,11 @@ def verify(docs: DataFrame, spans: DataFrame, listed: list[tuple[str, list[bytes
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows, strict=True)) or [()] * 8, kinds, strict=True)], names=names)
 
     of = materialise(spans.groupBy("doc_id", "th").agg(F.collect_set(F.struct("template", "first", "last")).alias("found")), "spans")
-    # few texts have spans: they go to the texts where their number allows it, else both are shuffled
-    right = F.broadcast(of) if of.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else of
+    # few texts have spans: they go to the texts where their size allows it, else both are shuffled
+    size = of.agg(F.sum(F.lit(64) + F.size("found") * 32)).first()[0] or 0
+    right = F.broadcast(of) if size <= BROADCAST_BYTES else of
     met = docs.alias("d").join(right.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.th") == F.col("s.th")), "left")
-    return met.select("d.doc_id", "d.text", "s.found").mapInArrow(run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
+    return met.select("d.doc_id", "d.text", "s.found").mapInArrow(tidy(run), "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
 
 
 def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: list[tuple[str, str]] = TEMPLATES, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -21,11 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.llm._encoder import encoder
-from sievework.llm._runtime import fresh_path, materialise, open_fs, small_batches
+from sievework.llm._runtime import fresh_path, materialise, open_fs, small_batches, tidy
 
 MAGIC, CHUNK, STEP = b"SWDAC001", 8, 512
 #: A file is closed when it has so many tokens: what a writer or reader holds in memory.
@@ -139,16 +139,15 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | None = N
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
     dealt = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
-    return materialise(dealt.mapInArrow(run, "file string, part int, roll int, n_docs long, n_tokens long").withColumn("path", F.lit(path)), "manifest")
+    return materialise(dealt.mapInArrow(tidy(run), "file string, part int, roll int, n_docs long, n_tokens long").withColumn("path", F.lit(path)), "manifest")
 
 
 def read(manifest: DataFrame) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32)`` of each document, read back from the files of a manifest."""
     spark = manifest.sparkSession
-    base, files = 0, []
-    for r in manifest.orderBy("part", "roll").collect():  # one row for each file of millions of tokens
-        files.append((f"{r.path}/{r.file}", base))
-        base += r.n_tokens
+    # a row for each file of millions of tokens: few enough for one task
+    before = F.sum("n_tokens").over(Window.orderBy("part", "roll").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")
+    listed = manifest.select(F.concat("path", F.lit("/"), "file").alias("file"), before.alias("base"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,7 +158,5 @@ def read(manifest: DataFrame) -> DataFrame:
                 crc = [zlib.crc32(t.document(k).astype("<u4").tobytes()) for k in range(t.n_docs)]
                 yield pa.RecordBatch.from_arrays([pa.array(t.doc_ids, mask=t.null.astype(bool)), pa.array(first + t.starts[:-1]), pa.array(np.diff(t.starts)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    listed = spark.createDataFrame(files, "file string, base long")
-    if files:
-        listed = listed.repartition(min(len(files), 4 * spark.sparkContext.defaultParallelism))
-    return listed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    tasks = max(1, min(manifest.count(), 4 * spark.sparkContext.defaultParallelism))
+    return listed.repartition(tasks).mapInArrow(tidy(run), "doc_id long, start long, n_tokens long, ids_crc32 long")

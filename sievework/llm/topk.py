@@ -8,8 +8,10 @@ nearest pivot whose annulus is nearest, for a bound on its k-th distance; then e
 is expanded from the query's own distance outward until the inequality stops it. Scores are exact integers.
 
 Edge cases: vectors that are null or have a null or non-finite component take no part; vectors of other lengths than
-the query's aren't its candidates. A query's own row is each with its id. Rows with a null id are neither queries nor
-candidates. Scores beyond 64 bits are held to the largest or smallest there is. Repeated rows are candidates each. Fewer candidates than k give fewer rows.
+the query's aren't its candidates. Rows with a null id are neither queries nor candidates. Each row is a query and a
+candidate of its own, also where ids repeat: a row's candidates are all rows but itself, and a repeated query id has as
+many answers as rows. Scores beyond 64 bits are held to the largest or smallest there is. Fewer candidates than k give
+fewer rows. Columns other than id and vector are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,13 +23,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm._runtime import materialise, reach
+from sievework.llm._runtime import materialise, reach, tidy
 
 SCALE, K = 256, 5
-#: Points of a block, queries of a query block, pivots of a vector length, and the points pivots are chosen from.
-BLOCK, QUERIES, PIVOTS, SAMPLE = 4096, 512, 64, 5000
+#: Points of a block, pivots of a vector length, and the points pivots are chosen from.
+BLOCK, PIVOTS, SAMPLE = 4096, 64, 5000
 #: Components beyond this make a point wild: it has no pivot and is compared with all, so that no distance overflows.
 WILD = float(1 << 40)
+#: Columns that name a block, those of an answer, and those of a query's ray to a pivot.
+PLACE, ANSWER, RAY = ["dim", "pivot", "annulus", "part"], ("query", "query_id", "vec_id", "score"), "row long, dim int, pivot int, away double, wide double"
+#: The least score there is, and queries of a block that one task may get.
+LEAST, LOT = -(2**63), 1 << 15
+#: Rows up to which the list of blocks (some 60 bytes each) is broadcast; beyond it both sides are shuffled.
+MOST_SENT = 200_000
 #: Share by which distances are widened before they rule a point out: rounding never loses one.
 SLACK = 1e-9
 
@@ -37,7 +45,8 @@ def quantised(vectors: DataFrame, scale: int, id_col: str, vector_col: str) -> D
     fine = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), x.alias("x")).where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & F.coalesce(fine, F.lit(False)))
     # kept as doubles: whole numbers of any size that floor gives
-    return rows.select("vec_id", F.transform("x", lambda v: F.rint(v * scale - F.lit(0.0)) - (F.rint(v * scale) > v * scale).cast("double")).alias("x"), F.size("x").alias("dim")).withColumn("norm", F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "x")  # written at once, so it stays
+    return rows.select("row", "vec_id", F.transform("x", lambda v: F.rint(v * scale - F.lit(0.0)) - (F.rint(v * scale) > v * scale).cast("double")).alias("x"), F.size("x").alias("dim")).withColumn("norm", F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -69,12 +78,12 @@ def _keyed(rows: DataFrame, pivots: dict[int, tuple[np.ndarray, float]]) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims = batch.column(2).to_numpy(zero_copy_only=False)
+            dims = batch.column(3).to_numpy(zero_copy_only=False)
             pivot, dist = np.zeros(len(dims), np.int32), np.zeros(len(dims))
             for d in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == d)
                 centre, m = sent.value[d]
-                x = matrix(batch.column(1).take(pa.array(at)), d)
+                x = matrix(batch.column(2).take(pa.array(at)), d)
                 wild = np.abs(x).max(1, initial=0) > WILD
                 pivot[at[wild]] = -1
                 at, x = at[~wild], x[~wild]
@@ -86,7 +95,7 @@ def _keyed(rows: DataFrame, pivots: dict[int, tuple[np.ndarray, float]]) -> Data
                 dist[at] = far.min(1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pivot), pa.array(dist)], names=[*batch.schema.names, "pivot", "dist"])
 
-    return rows.mapInArrow(run, "vec_id long, x array<double>, dim int, norm double, pivot int, dist double")
+    return rows.mapInArrow(tidy(run), "row long, vec_id long, x array<double>, dim int, norm double, pivot int, dist double")
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -100,11 +109,11 @@ def _search(k: int, pivots: dict, bounded: bool):
         table = table.combine_chunks()
         side = table.column("side").to_numpy()
         dim, pivot = table.column("dim")[0].as_py(), table.column("pivot")[0].as_py()
-        ids, dist, bound = (table.column(c).to_numpy() for c in ("vec_id", "dist", "bound"))
+        ids, own, dist, bound = (table.column(c).to_numpy() for c in ("vec_id", "row", "dist", "bound"))
         x = matrix(pa.concat_arrays(table.column("x").chunks), dim)
         p, q = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         if not len(p) or not len(q):
-            return pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "score")})
+            return pa.table({c: pa.array([], pa.int64()) for c in ANSWER})
         p = p[np.argsort(dist[p], kind="stable")]
         centre, m = pivots[dim]
         wild = (np.abs(x[q]).max(1, initial=0) > WILD) | (pivot < 0)
@@ -124,16 +133,16 @@ def _search(k: int, pivots: dict, bounded: bool):
                 continue
             first, last = int(lo[hi > lo].min()), int(hi[hi > lo].max())
             scores = products(x[q[rows]], x[p[first:last]])
-            cand = ids[p[first:last]]
+            cand, others = ids[p[first:last]], own[p[first:last]]
             for i in range(len(scores)):
                 s = slice(int(lo[i]) - first, int(hi[i]) - first) if hi[i] > lo[i] else slice(0, 0)
                 c, v = cand[s], scores[i, s]
-                ok = (c != ids[q[a + i]]) & (v >= bound[q[a + i]])
+                ok = (others[s] != own[q[a + i]]) & (v >= bound[q[a + i]])
                 c, v = c[ok], v[ok]
                 at = best(c, v, k)
-                out.append((np.full(len(at), ids[q[a + i]]), c[at], v[at]))
-        columns = list(zip(*out, strict=True)) or [[np.zeros(0)]] * 3
-        return pa.table({c: pa.array(np.concatenate(v).astype(np.int64)) for c, v in zip(("query_id", "vec_id", "score"), columns, strict=True)})
+                out.append((np.full(len(at), own[q[a + i]]), np.full(len(at), ids[q[a + i]]), c[at], v[at]))
+        columns = list(zip(*out, strict=True)) or [[np.zeros(0)]] * 4
+        return pa.table({c: pa.array(np.concatenate(v).astype(np.int64)) for c, v in zip(ANSWER, columns, strict=True)})
 
     return run
 
@@ -157,75 +166,79 @@ def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE, id_col:
             far = np.minimum(far, distances(x, x[chosen[-1:]])[:, 0])
         pivots[d] = (x[chosen], float(m))
     keyed = materialise(_keyed(rows, pivots), "keyed")
-    # annuli: the points of a pivot by distance, cut at quantiles of it into blocks
-    quantiles = keyed.groupBy("dim", "pivot").agg(F.count("*").alias("n"), F.percentile_approx("dist", [i / 64 for i in range(65)], 1000).alias("at")).collect()
-    cuts = {}
+    blocked = _blocked(keyed)
+    # a row for each block, of thousands of points: what may be in it
+    blocks = materialise(blocked.groupBy(*PLACE).agg(F.min("dist").alias("low"), F.max("dist").alias("high"), F.count("*").alias("n")), "block_list")
+    queries = keyed.where(is_query)
+    n_queries = queries.count()
+    lots = max(1, -(-n_queries // LOT))
+    points = blocked.select(*PLACE, F.lit(0).alias("side"), "row", "vec_id", "x", "dist", F.lit(LEAST).cast("long").alias("bound"))
+
+    def found(asked: DataFrame, bounded: bool) -> DataFrame:
+        """Best rows of each query in the blocks that it is dealt to. Queries of a block are dealt to lots; the points of
+        a block go to those lots alone that have queries for it."""
+        asked = asked.withColumn("lot", F.pmod(F.xxhash64("row"), F.lit(lots)).cast("int"))
+        wanted = asked.select(*PLACE, "lot").distinct()
+        asked = asked.select(*PLACE, F.lit(1).alias("side"), "row", "vec_id", "x", F.lit(0.0).alias("dist"), "bound", "lot")
+        spread = points.join(wanted, PLACE).select(asked.columns)
+        return spread.unionByName(asked).groupBy(*PLACE, "lot").applyInArrow(_search(k, pivots, bounded), ", ".join(f"{c} long" for c in ANSWER))
+
+    start = queries.select("row", "vec_id", "x", "dim", F.lit(LEAST).cast("long").alias("bound"))
+    rays = materialise(start.select("row", "x", "dim", "bound").mapInArrow(tidy(_rays(pivots)), RAY), "rays")
+    # first the nearest block of those that hold enough
+    low = F.greatest(F.col("low") - F.col("away"), F.col("away") - F.col("high"), F.lit(0.0)) + F.col("away") * 1e-6
+    listed = F.broadcast(blocks) if blocks.count() <= MOST_SENT else blocks
+    near = rays.join(listed.where(F.col("n") > k), ["dim", "pivot"]).groupBy("row").agg(F.min(F.struct(low.alias("low"), *[c for c in PLACE])).alias("b")).select("row", "b.*").drop("low")
+    first = found(start.drop("dim").join(near, "row"), False)
+    kth = first.groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("s")).where(F.col("n") >= k).select(F.col("query").alias("row"), F.col("s").alias("bound"))
+    bounded = materialise(start.drop("bound").join(kth, "row", "left").withColumn("bound", F.coalesce("bound", F.lit(LEAST).cast("long"))), "bounds")
+    # then every block whose annulus meets that of a query
+    rays = bounded.select("row", "x", "dim", "bound").mapInArrow(tidy(_rays(pivots)), RAY)
+    met = rays.join(listed, ["dim", "pivot"]).where((F.col("low") <= F.col("away") + F.col("wide")) & (F.col("high") >= F.col("away") - F.col("wide")))
+    got = found(bounded.drop("dim").join(met.select("row", *PLACE), "row"), True)
+    ranked = got.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")))
+    return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _blocked(keyed: DataFrame) -> DataFrame:
+    """Points with their block: the annuli of a pivot are cut at quantiles of the distance from it; beyond 64 annuli, and
+    for distances that many points share, a hash cuts on."""
+    spark = keyed.sparkSession
+    quantiles = keyed.groupBy("dim", "pivot").agg(F.count("*").alias("n"), F.percentile_approx("dist", [i / 64 for i in range(65)], 1000).alias("at")).collect()  # a row a pivot
+    cuts = []
     for r in quantiles:
         n = max(1, -(-r.n // BLOCK))
-        cuts[r.dim, r.pivot] = sorted({r.at[min(64, round(64 * i / n))] for i in range(1, n)} - {None}) if n > 1 else []
-    keys = {key: i for i, key in enumerate(cuts)}
-    cut_table = spark.createDataFrame([(d, p, [float(x) for x in c], keys[d, p]) for (d, p), c in cuts.items()], "dim int, pivot int, cuts array<double>, place int")
-    # beyond 64 annuli, and for distances that many points share, a hash cuts on
+        cuts.append((r.dim, r.pivot, sorted({float(r.at[min(64, round(64 * i / n))]) for i in range(1, n)}) if n > 1 else []))
+    cut_table = spark.createDataFrame(cuts, "dim int, pivot int, cuts array<double>")
     annulus = F.size(F.filter("cuts", lambda c: c <= F.col("dist")))
-    blocked = keyed.join(cut_table, ["dim", "pivot"]).withColumn("annulus", annulus).drop("cuts")
-    counts = {(r.place, r.annulus): r.n for r in blocked.groupBy("place", "annulus").agg(F.count("*").alias("n")).collect()}
-    split = spark.createDataFrame([(p, a, -(-n // BLOCK)) for (p, a), n in counts.items()], "place int, annulus int, parts int")
-    blocked = materialise(blocked.join(split, ["place", "annulus"]).withColumn("part", F.pmod(F.xxhash64("vec_id", "x"), F.col("parts")).cast("int")).drop("parts"), "blocks")
-    blocks = [tuple(r) for r in blocked.groupBy("dim", "place", "annulus", "part", "pivot").agg(F.min("dist"), F.max("dist"), F.count("*")).orderBy("place", "annulus", "part").collect()]  # one row for each of thousands of points
-    queries = keyed.where(is_query)
-    schema = "query_id long, vec_id long, score long"
-    points = blocked.select("dim", "pivot", F.lit(0).alias("side"), "vec_id", "x", "dist", F.lit(0).cast("long").alias("bound"), "place", "annulus", "part", F.lit(0).alias("lot"))
+    placed = keyed.join(F.broadcast(cut_table), ["dim", "pivot"]).withColumn("annulus", annulus).drop("cuts")
+    parts = placed.groupBy("dim", "pivot", "annulus").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))  # 65 rows a pivot at most
+    placed = placed.join(F.broadcast(parts), ["dim", "pivot", "annulus"])
+    return materialise(placed.withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")).drop("parts"), "blocks")
 
-    def found(chosen: DataFrame, bounded: bool) -> DataFrame:
-        asked = chosen.select("dim", "pivot", F.lit(1).alias("side"), "vec_id", "x", F.lit(0.0).alias("dist"), "bound", "place", "annulus", "part", F.pmod(F.xxhash64("vec_id"), F.lit(lots)).cast("int").alias("lot"))
-        spread = points.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
-        return spread.unionByName(asked).groupBy("place", "annulus", "part", "lot").applyInArrow(_search(k, pivots, bounded), schema)
 
-    n_queries = queries.count()
-    lots = max(1, -(-n_queries // (64 * QUERIES)))
-    choose = _route(pivots, blocks, k)
-    routed = "vec_id long, x array<double>, dim int, bound long, pivot int, place int, annulus int, part int"
-    start = queries.select("vec_id", "x", "dim", F.lit(-(2**63)).cast("long").alias("bound"))
-    first = found(start.mapInArrow(choose(True), routed), False)
-    kth = materialise(first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("s")).where(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), F.col("s").alias("bound")), "bounds")
-    second = queries.select("vec_id", "x", "dim").join(kth, "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(-(2**63)).cast("long")))
-    got = found(second.mapInArrow(choose(False), routed), True)
-    ranked = got.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-    return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+def _rays(pivots: dict):
+    """A query's distance from each pivot of its length (and -1, whose points have none), and how far from the pivot's
+    circle through it a point of the bound's score may lie."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column(2).to_numpy(zero_copy_only=False)
+            for d in np.unique(dims).tolist():
+                part = batch.take(pa.array(np.flatnonzero(dims == d)))
+                x, bound = matrix(part.column(1), d), part.column(3).to_numpy(zero_copy_only=False).astype(float)
+                centre, m = pivots[d]
+                wild = np.abs(x).max(1, initial=0) > WILD
+                tame = np.where(wild[:, None], 0.0, x)
+                away = distances(np.append(tame, np.zeros((len(x), 1)), 1), centre)
+                radius = np.sqrt(np.maximum((tame * tame).sum(1) + m - 2 * np.maximum(bound, -1e300), 0))
+                wide = (radius * (1 + SLACK))[:, None] + SLACK * (away + np.sqrt(m) + 1) * 10
+                wide[wild] = np.inf
+                # points without a pivot are met by all
+                away, wide = np.append(away, np.zeros((len(x), 1)), 1), np.append(wide, np.full((len(x), 1), np.inf), 1)
+                n = away.shape[1]
+                pivot = np.tile(np.append(np.arange(n - 1), -1).astype(np.int32), len(x))
+                row = np.repeat(part.column(0).to_numpy(zero_copy_only=False), n)
+                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.full(len(row), d, np.int32)), pa.array(pivot), pa.array(away.ravel()), pa.array(wide.ravel())], names=["row", "dim", "pivot", "away", "wide"])
 
-def _route(pivots: dict, blocks: list[tuple], k: int):
-    """Query rows for the nearest block that has over k points (``nearest``), or for all blocks their bound allows."""
-    by_dim: dict[int, list[tuple]] = {}
-    for b in blocks:
-        by_dim.setdefault(b[0], []).append(b)
-
-    def choose(nearest: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                dims = batch.column(2).to_numpy(zero_copy_only=False)
-                for d in np.unique(dims).tolist():
-                    part = batch.take(pa.array(np.flatnonzero(dims == d)))
-                    x, bound = matrix(part.column(1), d), part.column(3).to_numpy(zero_copy_only=False).astype(float)
-                    centre, m = pivots[d]
-                    mine = by_dim[d]
-                    wild = np.abs(x).max(1, initial=0) > WILD
-                    tame = np.where(wild[:, None], 0.0, x)
-                    away = distances(np.append(tame, np.zeros((len(x), 1)), 1), centre)[:, [max(b[4], 0) for b in mine]]
-                    lo, hi, n = (np.array([b[i] for b in mine]) for i in (5, 6, 7))
-                    least = np.maximum(np.maximum(lo[None] - away, away - hi[None]), 0)
-                    least[wild] = 0
-                    least[:, [b[4] < 0 for b in mine]] = 0
-                    if nearest:
-                        row = np.arange(len(x))
-                        at = np.where((n > k)[None], least + 1e-6 * away, np.inf).argmin(1)
-                    else:
-                        radius = np.sqrt(np.maximum((tame * tame).sum(1) + m - 2 * np.maximum(bound, -1e300), 0))
-                        row, at = np.nonzero(least <= (radius * (1 + SLACK))[:, None] + SLACK * (away + np.sqrt(m) + 1) * 10)
-                    taken = part.take(pa.array(row))
-                    place = [pa.array(np.array([mine[j][i] for j in at], np.int32)) for i in (4, 1, 2, 3)]
-                    yield pa.RecordBatch.from_arrays([*taken.columns[:4], *place], names=["vec_id", "x", "dim", "bound", "pivot", "place", "annulus", "part"])
-
-        return run
-
-    return choose
+    return run

@@ -8,7 +8,8 @@ Frame at the head: magic 0x184D2A5D and length, little-endian, then the dictiona
 headers beside the standard's: X-Page-Id (absent: null), X-Payload-Length, and X-Refers-To-Page of a revisit.
 
 Edge cases: null html is an empty payload; a null url leaves its header out. Null ids count as smaller than others;
-rows that share the largest id of their payload are all responses. An empty table gives no file.
+rows that share the largest id of their payload are all responses. Columns other than id, url and html are ignored. An
+empty table gives no file.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm._runtime import fresh_path, materialise, open_fs, small_batches
+from sievework.llm._runtime import fresh_path, join_about, materialise, open_fs, small_batches, tidy
 
 DICTIONARY_MAGIC = 0x184D2A5D
 #: The dictionary's size, and its sample: so many records of at most so many bytes.
@@ -121,7 +122,7 @@ def write(pages: DataFrame, path: str | None = None, minimum: int = 0, dictionar
     path = path or fresh_path(spark, "warc")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html").withColumn("digest", F.sha1(_payload()))
     large = F.octet_length(F.coalesce("html", F.lit(""))) >= minimum
-    shared = materialise(rows.where(large).groupBy("digest").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1").select("digest", "response"), "shared")
+    shared = materialise(rows.where(large).groupBy("digest").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1"), "shared")
     usual = rows.where(F.octet_length(F.coalesce("html", F.lit(""))).between(1, SAMPLE_BYTES))
     # twice the sample by a share of the hashes: tasks send few rows each, however many tasks there are
     part = F.pmod(F.xxhash64(F.lit(1), "digest"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * SAMPLE / max(1, usual.count())))
@@ -162,9 +163,9 @@ def write(pages: DataFrame, path: str | None = None, minimum: int = 0, dictionar
         if out is not None:
             yield close()
 
-    met = rows.withColumn("_key", F.when(large, F.col("digest"))).join(shared.withColumnRenamed("digest", "_key"), "_key", "left")
+    met = join_about(rows.withColumn("key", F.when(large, F.col("digest"))), shared.select(F.col("digest").alias("key"), "response"), "key", counts=shared.select(F.col("digest").alias("key"), F.col("n").alias("count")))
     met = met.select("page_id", "url", "html", "response", F.col("response").isNotNull().alias("twin"))
-    return materialise(met.mapInArrow(run, "file string, n_records long, bytes long"), "manifest")
+    return materialise(met.mapInArrow(tidy(run), "file string, n_records long, bytes long"), "manifest")
 
 
 def read(manifest: DataFrame) -> DataFrame:
@@ -193,4 +194,4 @@ def read(manifest: DataFrame) -> DataFrame:
                     yield whole(rows)
 
     files = manifest.select("file").repartition(max(1, min(manifest.count(), 4 * spark.sparkContext.defaultParallelism)))
-    return files.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return files.mapInArrow(tidy(run), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
