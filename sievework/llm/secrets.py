@@ -5,8 +5,8 @@ letter and a digit; it is a secret where the log-likelihood of its character pai
 exceeds that under the model of ordinary identifiers by ``least`` nats. Both models count character pairs in labelled
 samples, with add-one smoothing. Positions are in code points, ends exclusive.
 
-Edge cases: null text is empty and has no spans. Overlapping secrets of several kinds are all reported, but a Markov span
-that overlaps one of a fixed format isn't. Repeated rows are scanned each. Other columns are kept by :func:`scan` unless
+Edge cases: null text is empty and has no spans. Overlapping secrets of several kinds are all reported; Markov spans are
+looked for in what the fixed formats leave of a text. Time grows in proportion to a text and its matches. Repeated rows are scanned each. Other columns are kept by :func:`scan` unless
 they are named like one that it adds, and by :func:`redact` all.
 """
 
@@ -80,6 +80,15 @@ def spans(text: Column, pattern: str, kind: str, rank: int, group: int = 0, leas
     return F.when(text.rlike(pattern), running(walk, F.lit(0), _SPAN, step)).otherwise(F.array().cast(SPAN))
 
 
+def blanked(text: Column, pattern: str, group: int = 0, least: int = 0) -> Column:
+    """A text with blanks in place of the matches that :func:`spans` reports: places stay what they are."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    groups = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
+    walk = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("hit"), groups.alias("part"))
+    hit = lambda z: F.when(F.length(z["part"]) >= least, F.repeat(F.lit(" "), F.length(z["hit"]))).otherwise(F.coalesce(z["hit"], F.lit("")))
+    return F.array_join(F.transform(walk, lambda z: F.concat(z["gap"], hit(z))), "")
+
+
 def base_spans(text: Column) -> Column:
     """Spans of the fixed formats by start, then kind as listed."""
     return F.array_sort(F.concat(spans(text, ASSIGN, "assign", 0, 2, 8), spans(text, ACCESS, "access", 1), spans(text, HEX, "hex", 2)))
@@ -141,10 +150,12 @@ def scan(docs: DataFrame, table: list[float] | None = None, least: float = LEAST
     table = default_table(docs.sparkSession) if table is None else table
     text = F.coalesce(F.col(text_col), F.lit(""))
     mixed = lambda t: t.rlike("[0-9]") & t.rlike("[A-Za-z]") & (likelihood_ratio(t, table) >= least)
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in ("base", "found", "_markov")])
-    docs = docs.withColumns({"base": base_spans(text), "_markov": spans(text, CANDIDATE, "markov", 3, also=mixed)})
-    apart = lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-    return docs.withColumn("found", F.array_sort(F.concat("base", F.filter("_markov", apart)))).drop("_markov")
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in ("base", "found", "_markov", "_rest")])
+    docs = docs.withColumn("base", base_spans(text)).withColumn("_rest", text)
+    for format_ in ((HEX,), (ACCESS,), (ASSIGN, 2, 8)):
+        docs = docs.withColumn("_rest", F.when(F.size("base") > 0, blanked(F.col("_rest"), *format_)).otherwise(F.col("_rest")))
+    docs = docs.withColumn("_markov", spans(F.col("_rest"), CANDIDATE, "markov", 3, also=mixed))
+    return docs.withColumn("found", F.array_sort(F.concat("base", "_markov"))).drop("_markov", "_rest")
 
 
 def written(found: str) -> Column:

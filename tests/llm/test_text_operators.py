@@ -400,14 +400,14 @@ def test_secrets_take_time_in_proportion_to_matches(spark):
 
     one = "AKIA" + "Q7" * 8 + " "
     took = {}
-    for n in (2000, 16_000, 32_000):  # the first to warm up
+    for n in (1000, 8000, 16_000):  # the first to warm up
         df = spark.createDataFrame([(0, one * n)], "doc_id long, text string")
         began = time.time()
         assert secrets.scan(df).select(F.size("found")).first()[0] == n
         row = secrets.redact(df).select(F.sha2("text", 256), F.length("text")).first()
         took[n] = time.time() - began
         assert row[0] == hashlib.sha256(("[SECRET] " * n).encode()).hexdigest()
-    assert took[32_000] < 3 * took[16_000] + 2
+    assert took[16_000] < 3 * took[8000] + 2
 
 
 def test_random_strings_against_identifiers(spark):
