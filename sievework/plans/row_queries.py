@@ -167,6 +167,58 @@ def token_pair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("ids")[0].alias("doc_id"), F.size(rest).cast("long").alias("n"), F.md5(F.array_join(rest.cast("array<string>"), ",")).alias("md5"))
 
 
+@query("SELECT p_partkey::VARCHAR AS image_id, p_name || '.png' AS image_path, md5(p_type) AS md5, p_size FROM part")
+def image_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "image_dataset")
+    image = F.struct(F.encode("p_type", "UTF-8").alias("bytes"), F.concat("p_name", F.lit(".png")).alias("path"))
+    writers.write_parquet(table(spark, sf_dir, "part").select("p_partkey", "p_size", image.alias("image")), path)
+    return readers.read_image_dataset(spark, path, id_field="p_partkey").select("image_id", "image_path", F.md5("image_data").alias("md5"), "p_size")
+
+
+@query("SELECT count(*)::BIGINT AS rows FROM orders")
+def rows_by_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "footers")
+    writers.write_parquet(table(spark, sf_dir, "orders").select("o_orderkey"), path)
+    return readers.parquet_info(spark, path).agg(F.sum("rows").alias("rows"))
+
+
+@query("SELECT n_name AS title, n_nationkey::BIGINT AS id, 'https://de.wikipedia.org/wiki/' || replace(n_name, ' ', '_') AS url, 'About ' || n_name || '.' AS text FROM nation WHERE n_regionkey <> 0")
+def wiki_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "wiki")
+    page = F.concat(F.lit("<page><title>"), "n_name", F.lit("</title><ns>"), F.when(F.col("n_regionkey") == 0, "1").otherwise("0"), F.lit("</ns><id>"), "n_nationkey", F.lit("</id><revision><text bytes=\"9\">About [["), "n_name", F.lit("|"), "n_name", F.lit("]].{{note}}</text></revision></page>"))
+    dump = F.concat(F.lit("<mediawiki>"), F.array_join(F.collect_list(page), "\n"), F.lit("</mediawiki>"))
+    table(spark, sf_dir, "nation").agg(dump.alias("value")).write.text(path)  # 25 pages
+    dump = extract.read_wiki_dump(spark, path, "de")
+    return dump.withColumn("text", segments.fold(extract.wiki_text, "string")("text"))
+
+
+@query("SELECT p_partkey, p_name || chr(10) || '* ' || p_type || chr(10) || '* a & b' AS text FROM part")
+def text_as_shown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    html = F.concat(F.lit("<html><head><title>no</title></head><body><h1> "), "p_name", F.lit("</h1><script>x</script><ul><li>"), "p_type", F.lit("<li>a &amp;\n b</ul></body></html>"))
+    return table(spark, sf_dir, "part").select("p_partkey", extract.shown_text(html).alias("text"))
+
+
+@query("SELECT 'https://data.commoncrawl.org/crawl-data/CC-MAIN-2021-' || lpad((4 + 6 * n_nationkey)::VARCHAR, 2, '0') || '/warc.paths.gz' AS url FROM nation WHERE 4 + 6 * n_nationkey <= 46")
+def crawl_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = [f"CC-MAIN-2021-{4 + 6 * r.n_nationkey:02d}" for r in table(spark, sf_dir, "nation").collect()]  # 25 rows
+    return extract.urls_frame(spark, extract.crawl_path_lists("2021-01", "2021-50", known=known))
+
+
+@query("SELECT CASE WHEN n_nationkey % 5 = 0 THEN 'ValueError: bad' END AS error, count(*)::BIGINT AS n FROM nation GROUP BY 1")
+def failures_as_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for each nation, every fifth of which can't be read."""
+    path = fresh_path(spark, "failing")
+    table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("value"), F.col("n_nationkey").alias("k")).write.partitionBy("k").text(path)
+
+    def read(at: str, content: bytes):
+        if int(content) % 5 == 0:
+            raise ValueError("bad")
+        yield {"value": content.decode().strip()}
+
+    got = readers.read_records(spark, f"{path}/*", read, "value string", file_name_column=None, error_column="error")
+    return got.groupBy("error").agg(F.count("*").alias("n"))
+
+
 # pipelines, row shape, duplicates
 
 

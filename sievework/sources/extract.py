@@ -54,11 +54,14 @@ def monthly_snapshots(start: str, end: str) -> list[str]:
     return out
 
 
-def crawl_path_lists(start: str, end: str, news: bool = False, prefix: str = "https://data.commoncrawl.org") -> list[str]:
-    """Addresses of the lists of a public web crawl's archive files, for weeks or, of news, months."""
+def crawl_path_lists(start: str, end: str, news: bool = False, prefix: str = "https://data.commoncrawl.org", known: list[str] | None = None) -> list[str]:
+    """Addresses of the lists of a public web crawl's archive files, for weeks or, of news, months. Crawls exist for some
+    weeks alone: ``known`` has the names that the crawl's published index lists (CC-MAIN-YYYY-WW), which others are
+    left out by."""
     if news:
         return [f"{prefix}/crawl-data/CC-NEWS/{s[:4]}/{s[5:]}/warc.paths.gz" for s in monthly_snapshots(start, end)]
-    return [f"{prefix}/crawl-data/CC-MAIN-{s}/warc.paths.gz" for s in weekly_snapshots(start, end)]
+    names = [f"CC-MAIN-{s}" for s in weekly_snapshots(start, end)]
+    return [f"{prefix}/crawl-data/{n}/warc.paths.gz" for n in names if known is None or n in set(known)]
 
 
 def download(df: DataFrame, fetch: Callable[[str], bytes], url_field: str = "url", out: str = "content", drop_failed: bool = True) -> DataFrame:
@@ -288,11 +291,53 @@ def extract_html(df: DataFrame, html_field: str = "html", algorithm: str = "bloc
     return out.withColumn("language", F.col("_x.language")).withColumn("text", F.col("_x.text")).drop("_x").where("text IS NOT NULL")
 
 
-def read_wiki_dump(spark: SparkSession, path: str) -> DataFrame:
-    """``(title, id, url, text)`` of a dump's articles: pages of namespace 0 that aren't redirects. Read as XML, bz2 too."""
+#: Elements whose text isn't shown, and those that begin a line of their own: fixed values.
+_HIDDEN = {"script", "style", "head", "template", "noscript"}
+_BLOCKS = {"address", "article", "aside", "blockquote", "br", "dd", "div", "dl", "dt", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "nav", "ol", "p", "pre", "section", "table", "td", "th", "tr", "ul"}
+
+
+def visible_text(page: str) -> str:
+    """All text that a page shows, as a text browser has it: a line for each block, blanks collapsed, list items marked."""
+    lines, hidden = [[]], [0]
+
+    class Reader(HTMLParser):
+        def handle_starttag(self, tag, attributes):
+            hidden[0] += tag in _HIDDEN
+            if tag in _BLOCKS:
+                lines.append(["* "] if tag == "li" else [])
+
+        def handle_endtag(self, tag):
+            hidden[0] = max(0, hidden[0] - (tag in _HIDDEN))
+            if tag in _BLOCKS:
+                lines.append([])
+
+        def handle_data(self, data):
+            if not hidden[0]:
+                lines[-1].append(data)
+
+    reader = Reader(convert_charrefs=True)
+    reader.feed(page)
+    reader.close()
+    shown = (" ".join("".join(x).split()) for x in lines)
+    return "\n".join(x for x in shown if x not in ("", "*"))
+
+
+def shown_text(html: Column) -> Column:
+    """:func:`visible_text` of a column; null stays null."""
+
+    def run(pages: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None else visible_text(p) for p in pages], dtype="object")
+
+    run.__annotations__ = {"pages": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "string")(html)
+
+
+def read_wiki_dump(spark: SparkSession, path: str, language: str = "en") -> DataFrame:
+    """``(title, id, url, text)`` of a dump's articles in a language's wiki: pages of namespace 0 that aren't redirects.
+    Read as XML, bz2 too."""
     schema = "title string, ns int, id long, redirect struct<_title:string>, revision struct<text:struct<_VALUE:string>>"
     pages = spark.read.format("xml").option("rowTag", "page").schema(schema).load(path)
-    return pages.where("ns = 0 AND redirect IS NULL AND revision.text._VALUE IS NOT NULL").select("title", "id", F.concat(F.lit("https://en.wikipedia.org/wiki/"), F.replace("title", F.lit(" "), F.lit("_"))).alias("url"), F.col("revision.text._VALUE").alias("text"))
+    return pages.where("ns = 0 AND redirect IS NULL AND revision.text._VALUE IS NOT NULL").select("title", "id", F.concat(F.lit(f"https://{language}.wikipedia.org/wiki/"), F.replace("title", F.lit(" "), F.lit("_"))).alias("url"), F.col("revision.text._VALUE").alias("text"))
 
 
 def _balanced(text: str, opening: str, closing: str, keep: Callable[[str], str]) -> str:

@@ -95,29 +95,37 @@ def read_tsv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     return spark.read.option("sep", "\t").option("quote", "").csv(path).toDF(*names)
 
 
-def read_records(spark: SparkSession, paths: str | list[str], iterate: Callable[[str, bytes], Iterator[dict]], schema: str, extract: Callable[[dict], dict | None] | None = None, record_limit: int | None = None, file_name_column: str | None = "file_name") -> DataFrame:
+def read_records(spark: SparkSession, paths: str | list[str], iterate: Callable[[str, bytes], Iterator[dict]], schema: str, extract: Callable[[dict], dict | None] | None = None, record_limit: int | None = None, file_name_column: str | None = "file_name", error_column: str | None = None) -> DataFrame:
     """Rows that ``iterate(path, bytes)`` yields from each file, each passed through ``extract`` (None drops it); at most
-    ``record_limit`` records a file. A file that fails gives the rows before its failure."""
+    ``record_limit`` records a file. Rows leave as they come, a thousand at a time. A file that fails gives the rows
+    before its failure and, with ``error_column``, a row of its name and the error, which is null in others; without
+    it the failure is logged."""
     files = spark.read.format("binaryFile").load(paths).select("path", "content")
-    full = f"{schema}, {file_name_column} string" if file_name_column else schema
+    full = ", ".join([schema, *[f"{c} string" for c in (file_name_column, error_column) if c]])
     names = [f.name for f in spark.createDataFrame([], full).schema]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import logging
         from itertools import islice
 
+        def rows(path: str, content: bytes) -> Iterator[dict]:
+            own = {file_name_column: path.rpartition("/")[2]} if file_name_column else {}
+            try:
+                for record in islice(iterate(path, content), record_limit):
+                    row = extract(record) if extract else record
+                    if row is not None:
+                        yield row | own
+            except Exception as e:  # one bad file of millions doesn't end the job
+                if error_column:
+                    yield own | {error_column: f"{type(e).__name__}: {e}"}
+                else:
+                    logging.getLogger(__name__).exception("reading %s", path)
+
         for frame in frames:
             for path, content in zip(frame["path"], frame["content"], strict=True):
-                rows = []
-                try:
-                    for record in islice(iterate(path, content), record_limit):
-                        row = extract(record) if extract else record
-                        if row is not None:
-                            rows.append(row | ({file_name_column: path.rpartition("/")[2]} if file_name_column else {}))
-                except Exception:  # one bad file of millions doesn't end the job
-                    logging.getLogger(__name__).exception("reading %s", path)
-                for at in range(0, len(rows), 1000):
-                    yield pd.DataFrame([[r.get(c) for c in names] for r in rows[at : at + 1000]], columns=names)
+                found = rows(path, content)
+                while part := list(islice(found, 1000)):
+                    yield pd.DataFrame([[r.get(c) for c in names] for r in part], columns=names)
 
     return files.mapInPandas(run, full)
 
@@ -241,3 +249,32 @@ def read_wav_tree(spark: SparkSession, folder: str, limit: int | None = None, pa
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.wav").load(folder)
     files = files.limit(limit) if limit is not None else files
     return files.select(F.col("path").alias(path_field), wav_duration(F.col("content")).alias("duration"))
+
+
+def read_image_dataset(spark: SparkSession, paths: str | list[str], image_field: str = "image", id_field: str | None = None, limit: int | None = None) -> DataFrame:
+    """``(image_id, image_path, image_data)`` and the other columns of a Parquet image dataset whose images are structs
+    ``{bytes, path}``; ids are those of a column, or hashes of the bytes."""
+    df = spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+    df = df.limit(limit) if limit is not None else df
+    own = F.col(id_field).cast("string") if id_field else F.md5(f"{image_field}.bytes")
+    return df.select(own.alias("image_id"), F.col(f"{image_field}.path").alias("image_path"), F.col(f"{image_field}.bytes").alias("image_data"), *[c for c in df.columns if c not in (image_field, id_field)])
+
+
+def parquet_info(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``(path, rows, row_groups, metadata_bytes)`` of Parquet files, from their footers alone; read by the executors."""
+    found = [f for f, _ in list_files(spark, paths, EXTENSIONS["parquet"])]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for frame in frames:
+            rows = []
+            for path in frame["path"]:
+                store, at = fs.FileSystem.from_uri(path if not path.startswith("file:/") or path.startswith("file:///") else path.replace("file:/", "file:///", 1))
+                about = pq.read_metadata(at, filesystem=store)
+                rows.append((path, about.num_rows, about.num_row_groups, about.serialized_size))
+            yield pd.DataFrame(rows, columns=["path", "rows", "row_groups", "metadata_bytes"])
+
+    listed = spark.createDataFrame([(f,) for f in found], "path string")
+    return listed.mapInPandas(run, "path string, rows long, row_groups long, metadata_bytes long")
