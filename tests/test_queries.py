@@ -41,9 +41,11 @@ def test_query_equals_sql(spark, duck, name):
 
 
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE_SQL)))
-def test_query_runs(spark, name):
-    assert catalog.QUERIES[name](spark, DIR).schema is not None
-    catalog.QUERIES[name](spark, DIR).limit(5).collect()
+def test_query_gives_the_same_rows_again(spark, name):
+    first, again = (catalog.QUERIES[name](spark, DIR) for _ in range(2))
+    rows = lines(first.columns, first.collect())
+    assert rows or name == "semantic_duplicates"  # no two vectors there are that near
+    assert rows == lines(again.columns, again.collect())
 
 
 def test_entry(spark):
