@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_made: list[list[str]] = []
 
 
 def reach(spark: SparkSession) -> None:
@@ -29,11 +33,14 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a private one is made only where that is unset (local tests)."""
+    """The folder named by ``spark.checkpoint.dir``; a private one is made only where that is unset in local mode, where
+    driver and executors are one process. A cluster has to name one that its machines share."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return qualified(spark, named)
     app = spark.sparkContext.applicationId
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="sievework-")
         spark.sparkContext.setCheckpointDir(_own[app])
@@ -58,13 +65,38 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later steps neither recompute it nor depend on executors."""
     path = fresh_path(df.sparkSession, name)
+    if _made:
+        _made[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables made within are deleted at the end, but for those made by the function that this yields, which is
+    :func:`materialise` otherwise."""
+    kept: set[str] = set()
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        out = materialise(df, name)
+        kept.add(_made[-1][-1])
+        return out
+
+    _made.append([])
+    try:
+        yield keep
+    finally:
+        for path in _made.pop():
+            if path not in kept:
+                _delete(spark, path.rpartition("/")[0])
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def forget(df: DataFrame) -> None:
-    """Delete a table made by :func:`materialise`."""
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    """Delete a table made by :func:`materialise`, with the folder that was made for it alone."""
     for top in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(top).getParent()  # the folder that fresh_path made for it alone
-        path.getFileSystem(conf).delete(path, True)
+        _delete(df.sparkSession, top.rpartition("/")[0])
