@@ -108,3 +108,4 @@ def chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f"filter_{n}": _scored(r) for n, (r, _, _) in FILTERS.items()} | {f"filter_{n}": _scored(r) for n, r in PYTHON_FILTERS.items()} | {"filter_chain": chain}
 ORACLE_SQL = {f"filter_{n}": f"SELECT doc_id, score, coalesce({keep}, false) AS kept FROM (SELECT doc_id, {score} AS score FROM documents)" for n, (_, score, keep) in FILTERS.items()}
 ORACLE_SQL["filter_chain"] = "SELECT * FROM (SELECT doc_id, " + ", ".join(f"{FILTERS[n][1]} AS {n}" for n in CHAIN) + " FROM documents) WHERE " + " AND ".join(FILTERS[n][2].replace("score", n) for n in CHAIN)
+ORACLE_SQL["filter_token_count"] = f"SELECT doc_id, score, coalesce(score BETWEEN 50 AND 100000, false) AS kept FROM (SELECT doc_id, len({WORDS})::BIGINT AS score FROM documents)"
