@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from sievework.plans.graph import connected_components, local_roots
 from sievework.plans.skew import join_about
-from sievework.plans.tables import forget, fresh_path, materialise, reach, shared_dir
+from sievework.plans.tables import forget, fresh_path, materialise, reach, scratch, shared_dir, table
 
-__all__ = ["connected_components", "forget", "fresh_path", "join_about", "local_roots", "materialise", "null_safe_key", "open_fs", "reach", "shared_dir", "small_batches", "tidy"]
+__all__ = ["connected_components", "forget", "fresh_path", "join_about", "local_roots", "materialise", "null_safe_key", "open_fs", "reach", "scratch", "shared_dir", "small_batches", "table", "tidy"]
 
 #: Rows of an Arrow batch of whole texts: some 3 MB of usual documents, so that long ones don't fill a worker.
 BATCH_ROWS = 1000

@@ -7,55 +7,52 @@ from pyspark.sql import functions as F
 
 from sievework.llm import embed_dedup, licenses, mixing, packing, secrets, secrets_sql, simhash, token_files, topk, toxicity, warc
 from sievework.llm._encoder import public_tokenizer
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from sievework.llm._runtime import table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs.select("doc_id", "text", "lang"), model)
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"), F.col("toxic").alias("toxic_by_lang"))
 
 
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embed_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizer("byte_bpe_50k.json"))
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizer("byte_bpe_50k.json"))
 
 
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(_table(spark, sf_dir, "documents"))
+    return licenses.scan(table(spark, sf_dir, "documents"))
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.read(token_files.write(_table(spark, sf_dir, "documents"), public_tokenizer("word_bpe_49k.json")))
+    return token_files.read(token_files.write(table(spark, sf_dir, "documents"), public_tokenizer("word_bpe_49k.json")))
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     many = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", many("assign"), many("access"), many("hex"), F.sha2(secrets.written("base"), 256).alias("base_sha256"), secrets.written("found").alias("spans"))
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.read(warc.write(_table(spark, sf_dir, "pages")))
+    return warc.read(warc.write(table(spark, sf_dir, "pages")))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, radius=3)
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

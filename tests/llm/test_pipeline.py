@@ -42,11 +42,11 @@ def test_stages_keep_their_word(spark):
     one = stages["near_duplicates"](spark, docs, DIR)
     texts = [r.text for r in one.collect()]
     assert len(texts) == len(set(texts)) and {r.text for r in docs.collect()} >= set(texts)
-    found = secrets.scan(docs.select("doc_id", "text")).where(F.size("found") > 0).select("doc_id").collect()
-    hidden = {r.doc_id: r.text for r in stages["secrets"](spark, docs, DIR).collect()}
-    before = {r.doc_id: r.text for r in docs.collect()}
-    assert found and {i for i in hidden if hidden[i] != before[i]} == {r.doc_id for r in found}
-    assert all("[SECRET]" in hidden[r.doc_id] for r in found) and not secrets.scan(stages["secrets"](spark, docs, DIR)).where(F.size("base") > 0).count()
+    planted = docs.withColumn("text", F.when(F.col("doc_id") % 10 == 0, F.concat("text", F.lit(" api_key=Zx81Qw07Lk29Vb53 x"))).otherwise(F.col("text")))
+    found = {r.doc_id for r in secrets.scan(planted.select("doc_id", "text")).where(F.size("found") > 0).select("doc_id").collect()}
+    before, hidden = ({r.doc_id: r.text for r in d.collect()} for d in (planted, stages["secrets"](spark, planted, DIR)))
+    assert {i for i in before if i % 10 == 0} <= found == {i for i in hidden if hidden[i] != before[i]}
+    assert all("[SECRET]" in hidden[i] and "Zx81Qw07Lk29Vb53" not in hidden[i] for i in found)
     for name in ("toxicity", "near_duplicates", "secrets", "mixing"):
         assert stages[name](spark, docs, DIR).schema == docs.schema
         assert stages[name](spark, docs.limit(0), DIR).count() == 0
