@@ -78,6 +78,57 @@ def test_toxicity_keeps_columns_and_repeated_ids(spark):
     assert isinstance(few, toxicity.Model)
 
 
+def test_toxicity_learns_from_every_labelled_row_and_whole_texts(spark):
+    """A word that only one row has leaves its trace wherever that row trains; a long text counts to its last word."""
+    n = 14_000
+    df = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("own"), F.col("id").cast("string"), F.when(F.col("id") % 2 == 0, " vile").otherwise(" kind")).alias("text"))
+    model = toxicity.train(df, df.select("doc_id", ((F.col("doc_id") + 1) % 2).cast("int").alias("toxic")))
+    learnt = [i for i in range(n) if zlib.crc32(str(i).encode()) % 3 != 1 and zlib.crc32(f"calibration {i}".encode()) % 4 != 0]
+    assert len(learnt) > 6000 and all((model.table[list(toxicity.buckets(f"own{i}")), 1:] != 0).any(1).all() for i in learnt)
+    filler = "plain filler " * 9000
+    long = frame(spark, [filler + ("vile" if i < 30 else "kind") for i in range(60)])
+    kept = toxicity.reject_toxic(long, spark.createDataFrame([(i, int(i < 30)) for i in range(60)], "doc_id long, toxic int")).collect()
+    assert {r.doc_id for r in kept} == set(range(30, 60))
+
+
+def test_toxicity_thresholds_are_best_over_all_calibration_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    rows = docs.join(labels.select("doc_id", "toxic"), "doc_id").where(~toxicity.held_out()).collect()
+    rows = [r for r in rows if zlib.crc32(f"calibration {r.doc_id}".encode()) % 4 == 0]
+    z, y = toxicity.Scorer(model).logits([r.text for r in rows]), np.array([r.toxic for r in rows])
+    f1 = lambda cut: 2 * y[z >= cut].sum() / ((z >= cut).sum() + y.sum())
+    assert f1(np.log(0.7 / 0.3)) >= max(map(f1, z)) - 0.01
+
+
+def test_shards_train_to_one_model(spark, monkeypatch):
+    """More shards than one take the mean of what they learn, however the rows lie."""
+    monkeypatch.setattr(toxicity, "SHARD", 60)
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model, again = toxicity.train(docs, labels), toxicity.train(docs.repartition(7), labels.repartition(3))
+    assert np.array_equal(model.table, again.table) and np.array_equal(model.weight, again.weight) and model.shift == again.shift
+    got = toxicity.score(docs, model).join(labels.withColumnRenamed("toxic", "label").select("doc_id", "label"), "doc_id").toPandas()
+    assert ((got.score >= 0.7) == (got.label == 1)).mean() > 0.9
+
+
+def test_windows_run_over_blocks():
+    rng = np.random.default_rng(1)
+    model = toxicity.model_of(rng.normal(size=(toxicity.ROWS, toxicity.DIM)).astype(np.float32))
+    sizes = np.array([0, 1, 2, 65_536, 65_537, 65_538, 140_000, 5])
+    hashes = rng.integers(0, 150_000, (sizes.sum() + 1, 2)).astype(np.int32)
+    best, places = toxicity.responses(model, hashes, sizes)
+    for text, (end, size) in enumerate(zip(np.cumsum(sizes), sizes, strict=True)):
+        taps = toxicity.embeddings(model.table, hashes[end - size : end]) @ model.taps
+        taps = np.concatenate([taps, np.zeros((3, taps.shape[1]), np.float32)])
+        col = 0
+        for k, width in enumerate(toxicity.WIDTHS):
+            own = slice(8 * k, 8 * k + 8)
+            conv = sum(taps[j : max(size, 1) + j, col + 8 * j : col + 8 * j + 8] for j in range(width))
+            assert np.allclose(best[text, own], conv.max(0), atol=1e-3)
+            assert (places[text, own] == (conv.argmax(0) + end - size if size else -1)).mean() > 0.9  # ties by rounding
+            col += 8 * width
+
+
 def test_scores_equal_a_plain_forward_pass(spark):
     """Every registered score over sf0.001, by formulas written out."""
     from sievework.llm.queries import QUERIES
