@@ -480,7 +480,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int | None = None, max_c
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(text.alias("text"), _lang(docs).alias("lang")).alias("row")).where(~held_out())
     if max_chars is not None:
         wanted = wanted.where(F.length("row.text") <= max_chars)
-    one = wanted.join(labels, "doc_id").groupBy("doc_id").agg(F.min("row").alias("row"), F.first("toxic").alias("toxic"))
+    one = wanted.groupBy("doc_id").agg(F.min("row").alias("row")).join(labels, "doc_id")  # repeats go before rows move
     if max_total is not None:
         upto = F.sum(F.length("row.text")).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
         one = one.withColumn("upto", upto).where(F.col("upto") <= max_total)
