@@ -15,6 +15,8 @@ from pyspark.sql.types import StructType
 
 #: File name endings by kind.
 EXTENSIONS = {"jsonl": [".jsonl", ".json"], "parquet": [".parquet"], "tar": [".tar"], "warc": [".warc", ".warc.gz"]}
+#: Tasks a core from which starting them costs more than even loads gain.
+TASKS_A_CORE = 32
 
 
 def list_files(spark: SparkSession, paths: str | list[str], extensions: list[str] | None = None) -> list[tuple[str, int]]:
@@ -210,13 +212,15 @@ def read_videos(spark: SparkSession, path: str, limit: int | None = None) -> Dat
 
 
 def read_pdf_manifest(spark: SparkSession, path: str, file_name_field: str = "file_name", file_names_field: str = "cc_pdf_file_names", limit: int | None = None, per_partition: int = 10) -> DataFrame:
-    """A row for each PDF of a manifest whose rows name one or several."""
+    """A row for each PDF of a manifest whose rows name one or several, dealt to tasks of ``per_partition`` PDFs; to larger
+    ones where those would be more than TASKS_A_CORE tasks a core."""
     df = spark.read.json(path)
     if file_names_field in df.columns:
         df = df.withColumn(file_name_field, F.explode(file_names_field)).drop(file_names_field)
     if limit is not None:
         df = df.limit(limit)
-    return df.repartition(max(1, -(-df.count() // per_partition)))
+    most = TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    return df.repartition(min(most, max(1, -(-df.count() // per_partition))))
 
 
 @dataclass(frozen=True)

@@ -1,6 +1,6 @@
 """Text as shown, crawl lists, footers."""
 
-from sievework.sources import extract
+from sievework.sources import extract, readers
 
 
 def test_visible_text():
@@ -13,3 +13,13 @@ def test_crawl_lists():
     every = extract.crawl_path_lists("2020-52", "2021-02")
     assert [u.split("/")[4] for u in every] == ["CC-MAIN-2020-52", "CC-MAIN-2020-53", "CC-MAIN-2021-01", "CC-MAIN-2021-02"]
     assert extract.crawl_path_lists("2020-52", "2021-02", known=["CC-MAIN-2021-02"]) == every[-1:]
+
+
+def test_manifest_of_many_pdfs(spark, tmp_path):
+    """All rows, in tasks by the number of cores and not by that of PDFs alone."""
+    path = str(tmp_path / "pdfs")
+    spark.range(3000).selectExpr("id AS k", "array(concat('a', id), concat('b', id)) AS cc_pdf_file_names").write.json(path)
+    rows = readers.read_pdf_manifest(spark, path)
+    assert rows.rdd.getNumPartitions() == 32 * spark.sparkContext.defaultParallelism
+    assert {r.file_name for r in rows.collect()} == {f"{c}{k}" for c in "ab" for k in range(3000)} and rows.count() == 6000
+    assert readers.read_pdf_manifest(spark, path, limit=25).rdd.getNumPartitions() == 3
