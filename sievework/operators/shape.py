@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.operators.harness import require
+from sievework.plans.tables import materialise
 
 
 def add_id(df: DataFrame, id_field: str = "id", prefix: str | None = None, overwrite: bool = False, order_by: list[str] | None = None) -> DataFrame:
     """A unique id for each row: ``prefix_n`` or ``n``.
 
     Without ``order_by`` ids are unique and increase within a partition, and cost no shuffle. With it they run from 0
-    without gaps in that order: partitions are sorted by range and numbered after a count of their rows.
+    without gaps in that order: partitions are sorted by range, kept in a table, since ranges come from a sample and would
+    be others when made again, and numbered after a count of their rows.
     """
     if id_field in df.columns and not overwrite:
         raise ValueError(f"column {id_field!r} exists")
@@ -25,6 +27,7 @@ def add_id(df: DataFrame, id_field: str = "id", prefix: str | None = None, overw
         named = F.concat(F.lit(f"{prefix}_"), number.cast("string")) if prefix else number
         return df.withColumn(id_field, named)
     laid = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id() % F.lit(1 << 33))
+    laid = materialise(laid, "ordered")
     sizes = laid.groupBy("_part").count().collect()  # one row a partition
     before, starts = 0, {}
     for r in sorted(sizes, key=lambda r: r["_part"]):

@@ -62,3 +62,14 @@ def test_chunks(spark):
     merged = shape.merge_chunks(chunks, ["url"], no_content=["none"], sum_columns=["n"]).collect()
     assert [(r.url, r.cleaned_text, r.text, r.n) for r in merged] == [("u", "A\nB", "a\nb", 3)]
     assert apply(spark, lambda t: shape.center_crop(t, 3), ["abcdefg", "ab"]) == ["cde", "ab"]
+
+
+def test_ids_in_order_have_no_gaps(spark):
+    """Ranges come from a sample: they have to be made once."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(0, 200_000, 1, 16).select(F.xxhash64("id").alias("n"))
+        got = shape.add_id(df, "id", order_by=["n"]).orderBy("n").select("id").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r.id for r in got] == list(range(200_000))
