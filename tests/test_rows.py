@@ -190,3 +190,24 @@ def test_words_of_long_segments(spark):
             mine[min(met)[2]].append(w)
         want = [" ".join(w["word"] for w in sorted(mine[j], key=lambda w: w["start"])) for j in sorted(range(len(spans)), key=lambda j: (spans[j]["start"], j))]
         assert [s.text for s in got[name]] == want and sum(len(s.words) for s in got[name]) == len(words)
+
+
+def test_overlaps_by_definition(spark):
+    rng, rows = random.Random(3), []
+    for name in range(30):
+        rows.append((name, [seg(a, a + rng.choice([0, 0.3, 5, 90, 900])) for a in (round(rng.uniform(0, 3000), 1) for _ in range(20))]))
+    df = spark.createDataFrame(rows, "id int, segments array<struct<start:double,end:double>>")
+    dropped = S.drop_overlaps(df)
+    assert "Join" not in plan_of(dropped)
+    got, pairs = {r.id: r.segments for r in dropped.collect()}, {tuple(r) for r in S.overlap_pairs(df).collect()}
+    for name, spans in rows:
+        bad = {k for i, a, b in pairs if i == name for k in (a, b)}
+        assert bad and [(s.start, s.end) for s in got[name]] == [(s["start"], s["end"]) for k, s in enumerate(spans) if k not in bad]
+
+
+def test_a_fold_holds_slices(spark):
+    """A worker has the plain values of a slice of a batch, not of all its rows."""
+    blocks = S.fold(lambda _: __import__("sys").getallocatedblocks(), "long")
+    rows = spark.range(4000).coalesce(1).select(F.transform(F.sequence(F.lit(0), F.lit(299)), lambda k: k + F.rand(1)).alias("x"))
+    one, most = rows.limit(1).select(blocks("x")).first()[0], rows.select(blocks("x").alias("n")).agg(F.max("n"), F.count("n")).first()
+    assert most[1] == 4000 and most[0] - one < 400_000
