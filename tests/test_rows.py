@@ -211,3 +211,13 @@ def test_a_fold_holds_slices(spark):
     rows = spark.range(4000).coalesce(1).select(F.transform(F.sequence(F.lit(0), F.lit(299)), lambda k: k + F.rand(1)).alias("x"))
     one, most = rows.limit(1).select(blocks("x")).first()[0], rows.select(blocks("x").alias("n")).agg(F.max("n"), F.count("n")).first()
     assert most[1] == 4000 and most[0] - one < 400_000
+
+
+def test_windows_are_made_without_a_join(spark):
+    segments = [seg(5 * i, 5 * i + 4.5, speaker="ab"[i % 2], text=f"t{i}", metrics={"bandwidth": 100 if i == 12 else 9000}) for i in range(20)]
+    df = spark.createDataFrame([(1, 16000, segments), (2, 8000, segments), (3, None, segments), (4, 16000, None)], "id int, audio_sample_rate int, segments array<struct<start:double,end:double,speaker:string,text:string,metrics:struct<bandwidth:int>>>")
+    built = S.build_windows(df, target=32.0, tolerance=0.1, truncate=False)
+    assert "Join" not in plan_of(built) and "Exchange" not in plan_of(built)
+    got = {r.id: r.windows for r in built.collect()}
+    assert [(w.segments[0].text, len(w.segments)) for w in got[1]] == [*[(f"t{k}", 7) for k in range(6)], ("t6", 6), ("t13", 7), ("t14", 6)]
+    assert got[1][0].speaker_durations == [18.0, 13.5, 0.0, 0.0, 0.0] and got[2] == [] == got[3] and got[4] is None
