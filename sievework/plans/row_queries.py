@@ -159,10 +159,7 @@ def token_pair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered = docs.select(F.concat("doc_id", F.lit("\n"), "text").alias("text"))
     encode = lambda texts: [[int(t.partition("\n")[0]), *map(len, t.partition("\n")[2].split())] for t in texts]
     writers.write_token_pairs(numbered, path, encode, 1 << 20)
-    files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", "(part-[0-9]+)", 1).alias("part"), F.element_at(F.split("path", r"\."), -1).alias("kind"), "content")
-    pairs = files.groupBy("part").agg(*[F.max(F.when(F.col("kind") == k, F.col("content"))).alias(k) for k in ("bin", "idx")])
-    read = segments.fold(lambda raw, index: [d.tolist() for d in writers.read_token_pair(raw, index)], "array<array<long>>")
-    back = pairs.select(F.explode(read("bin", "idx")).alias("ids"))
+    back = writers.read_token_pairs(spark, path)
     rest = F.slice("ids", F.lit(2), F.size("ids") - 1)
     return back.select(F.col("ids")[0].alias("doc_id"), F.size(rest).cast("long").alias("n"), F.md5(F.array_join(rest.cast("array<string>"), ",")).alias("md5"))
 

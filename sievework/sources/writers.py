@@ -6,12 +6,15 @@ from __future__ import annotations
 import io
 import json
 import tarfile
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MODES = {"ignore": "append", "append": "append", "overwrite": "overwrite", "error": "errorifexists"}
@@ -41,18 +44,24 @@ def write_valid_samples(df: DataFrame, path: str, valid_field: str = "is_valid",
     write_jsonl(df.where(F.col(valid_field)) if valid_only else df, path)
 
 
-def _put(path: str, name: str, raw: bytes) -> None:
-    """A file that appears whole: written beside its place and moved. A repeated attempt writes the same bytes."""
+@contextmanager
+def _draft(path: str, name: str) -> Iterator:
+    """A file to write to that appears whole: written beside its place and moved. A repeated attempt writes the same bytes."""
     from pyarrow import fs
 
     store, top = fs.FileSystem.from_uri(path)
     store.create_dir(top, recursive=True)
     draft = f"{top}/{name}.{TaskContext.get().taskAttemptId() if TaskContext.get() else 0}"
-    with store.open_output_stream(draft, compression=None) as f:
-        f.write(raw)
+    with store.open_output_stream(draft, compression=None, buffer_size=1 << 20) as f:
+        yield f
     store.move(draft, f"{top}/{name}")
 
 
+def _put(path: str, name: str, raw: bytes) -> None:
+    with _draft(path, name) as f:
+        f.write(raw)
+
+
 def _files(df: DataFrame, write: Callable[[int, Iterator[pd.DataFrame]], Iterator[tuple[str, int]]]) -> list[tuple[str, int]]:
     """(file, rows) of what ``write(partition, frames)`` has written in each partition."""
 
@@ -67,7 +76,7 @@ def _files(df: DataFrame, write: Callable[[int, Iterator[pd.DataFrame]], Iterato
 TOKEN_TYPES = {"int32": 4, "uint16": 8}
 
 
-def index_bytes(sizes: list[int], dtype: str) -> bytes:
+def index_bytes(sizes: Sequence[int], dtype: str) -> bytes:
     """Index of a token file: magic, version 1, type code, sequence and document counts, sizes, byte offsets, documents."""
     item = np.dtype(dtype).itemsize
     offsets = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64) * item)])[:-1] if sizes else np.zeros(0, np.int64)
@@ -78,17 +87,21 @@ def write_token_pairs(df: DataFrame, path: str, encode: Callable[[list[str]], li
     """A ``.bin`` of ids and a ``.idx`` for each partition: 16 bits where the vocabulary fits, else 32."""
     dtype = "uint16" if vocabulary <= 65_536 else "int32"
 
-    def write(part: int, frames: Iterator[pd.DataFrame]) -> Iterator[tuple[str, int]]:
-        sizes, raw = [], io.BytesIO()
+    def encoded(frames: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
         for frame in frames:
             texts = frame[text_field].fillna("").tolist()
             for at in range(0, len(texts), batch):
                 for ids in encode(texts[at : at + batch]):
-                    ids = [*ids, end_id] if end_id is not None else ids
+                    yield np.array([*ids, end_id] if end_id is not None else ids, dtype)
+
+    def write(part: int, frames: Iterator[pd.DataFrame]) -> Iterator[tuple[str, int]]:
+        sizes, texts = array("q"), encoded(frames)
+        if (ids := next(texts, None)) is not None:
+            with _draft(path, f"part-{part:05d}.bin") as f:
+                while ids is not None:
                     sizes.append(len(ids))
-                    raw.write(np.array(ids, dtype).tobytes())
-        if sizes:
-            _put(path, f"part-{part:05d}.bin", raw.getvalue())
+                    f.write(ids.tobytes())
+                    ids = next(texts, None)
             _put(path, f"part-{part:05d}.idx", index_bytes(sizes, dtype))
             yield f"part-{part:05d}", len(sizes)
 
@@ -103,6 +116,34 @@ def read_token_pair(bin_bytes: bytes, idx_bytes: bytes) -> list[np.ndarray]:
     return np.split(np.frombuffer(bin_bytes, np.dtype(dtype)), np.cumsum(sizes)[:-1]) if n else []
 
 
+def read_token_pairs(spark: SparkSession, path: str, most: int = 1 << 20) -> DataFrame:
+    """``(ids)``: a row for each document of the token files in a folder, by their indexes; a file is read in batches of
+    about ``most`` bytes, or of one longer document."""
+    from sievework.sources.readers import list_files
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for name in (n for b in batches for n in b.column(0).to_pylist()):
+            store, at = fs.FileSystem.from_uri(name if not name.startswith("file:/") or name.startswith("file:///") else name.replace("file:/", "file:///", 1))
+            with store.open_input_stream(at, compression=None) as index, store.open_input_stream(f"{at.removesuffix('.idx')}.bin", compression=None) as ids:
+                head = index.read(34)
+                left, dtype = int.from_bytes(head[18:26], "little"), np.dtype(next(k for k, v in TOKEN_TYPES.items() if v == head[17]))
+                while left:
+                    sizes = np.frombuffer(index.read(4 * min(left, 1 << 16)), "<i4").astype(np.int64)
+                    left -= len(sizes)
+                    ends = np.concatenate([[0], np.cumsum(sizes)])
+                    lo = 0
+                    while lo < len(sizes):
+                        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + most // dtype.itemsize, "right")) - 1)
+                        values = np.frombuffer(ids.read(int(ends[hi] - ends[lo]) * dtype.itemsize), dtype).astype(np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array((ends[lo : hi + 1] - ends[lo]).astype(np.int32)), pa.array(values))], names=["ids"])
+                        lo = hi
+
+    listed = [(f,) for f, _ in list_files(spark, path, [".idx"])]
+    return spark.createDataFrame(listed, "path string").mapInArrow(run, "ids array<long>")
+
+
 def settle_errors(df: DataFrame, policy: str = "error") -> DataFrame:
     """Interleaved rows by what is to happen where content couldn't be read: error, warn, drop_row or drop_sample."""
     bad = F.col("materialize_error").isNotNull()

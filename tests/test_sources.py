@@ -110,3 +110,12 @@ def test_incremental(spark, tmp_path):
 
 def test_language_is_guessed_from_the_whole_page():
     assert X.guess_language("the house and the garden of the king " * 700 + "der Hund und die Katze sind nicht in dem Haus " * 3000) == "de"
+
+
+def test_token_pairs_are_read_in_batches(spark, tmp_path):
+    path = f"file://{tmp_path}/pairs"
+    df = spark.createDataFrame([(" ".join(str(k % 7 + j) for j in range(k % 50)),) for k in range(300)], "text string").repartition(3)
+    W.write_token_pairs(df, path, lambda texts: [list(map(int, t.split())) for t in texts], 1 << 20)
+    want = sorted([k % 7 + j for j in range(k % 50)] for k in range(300))
+    for most in (1, 64, 1 << 20):
+        assert sorted(r.ids for r in W.read_token_pairs(spark, path, most).collect()) == want
