@@ -12,17 +12,22 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The session's limit of an Arrow batch, and ours where it has none: Spark's own is 64 MB for each of an executor's workers.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20)
 _own: dict[str, str] = {}
 _made: list[list[str]] = []
 
 
 def reach(spark: SparkSession) -> None:
     """Let Python workers find this library where the driver has it, whatever folder the job was started in. On executors
-    that don't share that folder the library has to be installed or sent with --py-files."""
+    that don't share that folder the library has to be installed or sent with --py-files. Batches sent to workers are held
+    to BATCH_BYTES, unless the session names a size: rows alone don't bound them where rows are texts or recordings."""
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    if BATCH not in spark.conf.getAll:
+        spark.conf.set(BATCH, BATCH_BYTES)
 
 
 def qualified(spark: SparkSession, path: str) -> str:

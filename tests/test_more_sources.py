@@ -1,5 +1,8 @@
 """Text as shown, crawl lists, footers."""
 
+from pyspark.sql import functions as F
+
+from sievework.plans.tables import reach
 from sievework.sources import extract, readers
 
 
@@ -23,3 +26,18 @@ def test_manifest_of_many_pdfs(spark, tmp_path):
     assert rows.rdd.getNumPartitions() == 32 * spark.sparkContext.defaultParallelism
     assert {r.file_name for r in rows.collect()} == {f"{c}{k}" for c in "ab" for k in range(3000)} and rows.count() == 6000
     assert readers.read_pdf_manifest(spark, path, limit=25).rdd.getNumPartitions() == 3
+
+
+def rows_of_batch(texts):
+    return texts.map(lambda _: len(texts))
+
+
+def test_batches_of_workers_are_bounded(spark):
+    """Rows of 100 KB: a worker of a registered query is sent some 4 MB at a time, not 64."""
+    import pandas as pd
+
+    reach(spark)
+    rows_of_batch.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    rows = spark.range(0, 400, 1, 1).select(F.concat(F.repeat(F.lit("x"), 100_000), "id").alias("t"))
+    most, n = rows.select(F.pandas_udf(rows_of_batch, "long")("t").alias("n")).agg(F.max("n"), F.count("n")).first()
+    assert most <= 50 and n == 400
