@@ -16,6 +16,8 @@ from sievework.plans.graph import connected_components
 from sievework.plans.skew import join_about
 from sievework.plans.tables import materialise
 
+#: Hashes of n-grams that are multiplied at a time: the products stay in a core's cache.
+BLOCK = 256
 ID, SIGNATURE, BUCKET, GROUP = "_dedup_id", "_minhash_signature", "_bucket_id", "_duplicate_group_id"
 
 
@@ -63,17 +65,21 @@ def minhash(df: DataFrame, id_field: str = "id", text_field: str = "text", char_
     a |= np.uint64(1)
     text = T.normalised(F.col(text_field)) if normalise else F.col(text_field)
 
-    def signature(value: str) -> np.ndarray:
+    def signature(value: str, products: np.ndarray) -> np.ndarray:
         h, out = gram_hashes(value, char_ngrams), np.full(num_hashes, ~np.uint64(0), np.uint64)
-        for i in range(0, len(h), 1024):  # a block of products at a time
-            np.minimum(out, (h[i : i + 1024, None] * a + b).min(0), out=out)
+        for i in range(0, len(h), len(products)):  # a block of products at a time, in memory that stays in the cache
+            block = products[: len(h) - i]
+            np.multiply(h[i : i + len(block), None], a, out=block)
+            np.add(block, b, out=block)
+            np.minimum(out, block.min(0), out=out)
         return out.view(np.int64) if use_64bit else (out >> np.uint64(32)).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        products = np.empty((BLOCK, num_hashes), np.uint64)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                rows = [signature(t.as_py()) for t in part.column(1)]
+                rows = [signature(t.as_py(), products) for t in part.column(1)]
                 flat = pa.array(np.concatenate(rows))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * num_hashes), flat)
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], names=[ID, SIGNATURE])
